@@ -162,7 +162,17 @@ class FeatureSQL:
         return sql
 
 
+def spark_round(expr: str, ndigits: int) -> str:
+    """Round like Spark's ``round`` on doubles: HALF_UP on the shortest
+    decimal text of the value (not on its binary expansion)."""
+    return (f"CAST(round(TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 12)), {ndigits}) "
+            f"AS DOUBLE)")
+
+
 def rounded(sql: str, double_cols: list[str], all_cols: list[str], ndigits: int = 6) -> str:
     """Wrap a query so that its double columns are rounded like the Spark side."""
-    sel = ", ".join(f"round({c}, {ndigits}) AS {c}" if c in double_cols else c for c in all_cols)
+    def q(c):
+        return f'"{c}"'
+    sel = ", ".join(f"{spark_round(q(c), ndigits)} AS {q(c)}" if c in double_cols else q(c)
+                    for c in all_cols)
     return f"SELECT {sel} FROM ({sql}) z"
