@@ -54,8 +54,11 @@ def ridge_pipeline(features: list[str], target: str, pred_col: str = "yield_pred
 
 
 def fit(pipeline: Pipeline, train: DataFrame, features: list[str], target: str) -> PipelineModel:
+    """Fit on the rows with a known target. Iterative learners read the data
+    many times, so the input's lineage is cut once (``checkpoint`` writes to
+    the shared ``spark.checkpoint.dir``)."""
     data = _cast_features(train, features, target).filter(F.col(target).isNotNull())
-    return pipeline.fit(data)
+    return pipeline.fit(data.checkpoint(eager=True))
 
 
 def predict(model: PipelineModel, df: DataFrame, features: list[str], keep: list[str],
@@ -86,7 +89,7 @@ def random_search(pipeline: Pipeline, estimator, grid: dict, n_draws: int, train
     evaluator = RegressionEvaluator(labelCol=target, predictionCol=estimator.getPredictionCol(),
                                     metricName=metric)
     data = fold_column(_cast_features(train, features, target).filter(F.col(target).isNotNull()),
-                       key_cols, k, seed)
+                       key_cols, k, seed).checkpoint(eager=True)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator,
                         foldCol="fold", parallelism=parallelism, seed=seed)
     return cv.fit(data)
