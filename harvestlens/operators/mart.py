@@ -185,8 +185,12 @@ def build_mart(panel: DataFrame, features: list[Feature], *, time_col: str = "da
     stages = sorted({f.stage for f in features})
     measure_cols = sorted({roles.get(t.role, t.role) for f in features for t in f.terms}
                           | {roles.get(f.value, f.value) for f in features if f.value})
+    # NaN -> NULL on the measures read (pandas has one missing value; Spark's
+    # NaN compares greater than every number)
+    measures = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c)
+                for c in measure_cols]
     df = (panel.filter(F.col(stage).isin(stages))
-          .select(region, year, stage, time_col, *measure_cols)
+          .select(region, year, stage, time_col, *measures)
           .filter(F.col(region).isNotNull())
           .repartition(region))
     for phase in (plan.phase1, plan.phase2, plan.phase3):
