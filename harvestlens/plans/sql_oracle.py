@@ -162,17 +162,59 @@ class FeatureSQL:
         return sql
 
 
-def spark_round(expr: str, ndigits: int) -> str:
+def spark_round(expr: str, ndigits: str | int) -> str:
     """Round like Spark's ``round`` on doubles: HALF_UP on the shortest
     decimal text of the value (not on its binary expansion)."""
-    return (f"CAST(round(TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 12)), {ndigits}) "
+    return (f"CAST(ROUND(TRY_CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38, 18)), {ndigits}) "
             f"AS DOUBLE)")
 
 
+def _split_args(body: str) -> list[str]:
+    depth, start, out = 0, 0, []
+    for i, ch in enumerate(body):
+        if ch in "([":
+            depth += 1
+        elif ch in ")]":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            out.append(body[start:i])
+            start = i + 1
+    out.append(body[start:])
+    return out
+
+
+def sparkify_rounds(sql: str) -> str:
+    """Rewrite every lower-case ``round(x, n)`` call into ``spark_round``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 1, j + 6
+        while depth:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+            k += 1
+        args = _split_args(sql[j + 6:k - 1])
+        out.append(sql[i:j])
+        if len(args) == 2:
+            out.append(spark_round(sparkify_rounds(args[0]), args[1].strip()))
+        else:
+            out.append("round(" + sparkify_rounds(sql[j + 6:k - 1]) + ")")
+        i = k
+
+
 def rounded(sql: str, double_cols: list[str], all_cols: list[str], ndigits: int = 6) -> str:
     """Wrap a query so that its double columns are rounded like the Spark side."""
     def q(c):
         return f'"{c}"'
-    sel = ", ".join(f"{spark_round(q(c), ndigits)} AS {q(c)}" if c in double_cols else q(c)
+    sel = ", ".join(f"round({q(c)}, {ndigits}) AS {q(c)}" if c in double_cols else q(c)
                     for c in all_cols)
     return f"SELECT {sel} FROM ({sql}) z"
