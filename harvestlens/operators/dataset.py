@@ -30,15 +30,16 @@ def hash_key(cols: list[str], seed: int) -> Column:
 
 
 def hash_rank(df: DataFrame, hash_col: str, rank_col: str = "__rank",
-              prefix_len: int = 3) -> DataFrame:
+              prefix_len: int = 4) -> DataFrame:
     """Exact global rank (1..n) of rows ordered by a uniformly distributed hex
     hash, without a single-partition sort.
 
-    Rows are bucketed by the first ``prefix_len`` hex digits (4 096 buckets by
+    Rows are bucketed by the first ``prefix_len`` hex digits (65 536 buckets by
     default). Bucket sizes are counted (a bounded table of at most
     16**prefix_len rows, so its running sum and broadcast are bounded); the
     rank is the count of all earlier buckets plus the row number inside the
-    bucket. A bucket holds ~n/4096 rows of a uniform hash.
+    bucket. A bucket holds ~n/65536 rows of a uniform hash (1.5 M rows at
+    10^11 rows), so no task sorts more than its bucket.
     """
     bucket = F.substring(F.col(hash_col), 1, prefix_len)
     with_b = df.withColumn("__bucket", bucket)

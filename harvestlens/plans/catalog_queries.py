@@ -974,7 +974,25 @@ def _q_training_mart_annual(spark, sf):
                                               tt.ndvi_monthly(spark, sf), weather))
 
 
-@_reg("training_mart_hourly", None)
+_HOURLY_NAMES = [f.name for f in tb.TESTBED_HOURLY]
+_HOURLY_DOUBLES = [f.name for f in tb.TESTBED_HOURLY
+                   if f.kind in ("excess", "roll_max")
+                   or (f.kind in ("count", "joint_count", "run_max") and f.unit != 1.0)]
+
+
+def _hourly_training_sql():
+    mart = FeatureSQL(hourly_panel_sql(), tb.HOURLY_ROLES, "datetime").mart(tb.TESTBED_HOURLY)
+    agro = (f"SELECT * FROM (SELECT * REPLACE (harvest_year - 27 AS harvest_year) FROM ({mart}) a) b "
+            f"WHERE DEPT_ID NOT IN ('03', '04') AND harvest_year > 1995 AND harvest_year <= 1998 "
+            f"AND NOT (DEPT_ID = '05' AND harvest_year = 1997)")
+    static = (f"SELECT * FROM ({cs.static_sql()}) s WHERE DEPT_ID NOT IN ('03', '04') "
+              f"AND ANNEE > 1995")
+    return (f"SELECT s.*, m.* EXCLUDE (DEPT_ID, harvest_year) FROM ({static}) s JOIN ({agro}) m "
+            f"ON s.DEPT_ID = m.DEPT_ID AND s.ANNEE = m.harvest_year")
+
+
+@_reg("training_mart_hourly", _r(_hourly_training_sql(), STATIC_DOUBLES + _HOURLY_DOUBLES,
+                                 STATIC_COLS + _HOURLY_NAMES, 7))
 def _q_training_mart_hourly(spark, sf):
     hourly_mart = build_mart(_hourly(spark, sf), tb.TESTBED_HOURLY, time_col="datetime",
                              roles=tb.HOURLY_ROLES)
