@@ -1,0 +1,34 @@
+"""Incremental station-file ingestion: new files only, no duplicates on rerun."""
+
+import pandas as pd
+
+from harvestlens.streaming.ingest import ingest_station_files, read_ingested, station_schema
+
+LAYOUT = station_schema(["NUM_POSTE", "LAT", "LON", "ALTI", "AAAAMMJJHH", "T", "RR1"])
+
+
+def _write(src, dept, values, stamp=2024010100):
+    pd.DataFrame({"NUM_POSTE": ["1", "2"], "LAT": [1.0, 1.0], "LON": [2.0, 2.0],
+                  "ALTI": [100.0, 200.0], "AAAAMMJJHH": [str(stamp)] * 2, "T": values,
+                  "RR1": [1.0, 3.0]}).to_csv(src / f"dept_{dept}.csv", index=False)
+
+
+def test_ingest_incremental(spark, tmp_path):
+    src, out, ck = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "ck")
+    src.mkdir()
+    _write(src, "01", [10.0, 20.0])
+    _write(src, "2A", [5.0, None])
+    ingest_station_files(spark, str(src), out, LAYOUT, checkpoint=ck).awaitTermination()
+    first = {r["dept_id"]: r["temp_air_c"] for r in read_ingested(spark, out).collect()}
+    assert first == {"01": 15.0, "2A": 5.0}
+    assert {r["precipitations_1h_mm"] for r in read_ingested(spark, out).collect()} == {2.0}
+
+    _write(src, "59", [1.0, 3.0])
+    ingest_station_files(spark, str(src), out, LAYOUT, checkpoint=ck).awaitTermination()
+    rows = read_ingested(spark, out).collect()
+    assert sorted(r["dept_id"] for r in rows) == ["01", "2A", "59"]   # old files not re-read
+    assert {r["dept_id"]: r["precipitations_1h_mm"] for r in rows}["59"] == 2.0
+
+    # rerun with nothing new: table unchanged
+    ingest_station_files(spark, str(src), out, LAYOUT, checkpoint=ck).awaitTermination()
+    assert read_ingested(spark, out).count() == 3
