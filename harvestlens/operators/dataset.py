@@ -1,8 +1,9 @@
 """Splits, scaling, moments and regression metrics on DataFrames.
 
-Everything is expressed as aggregates (fit) and projections (apply); the fitted
-statistics are one-row frames joined back on a constant key (one row, so the
-broadcast is bounded by construction).
+Everything is expressed as aggregates (fit) and projections (apply). A fit is
+one distributed aggregate whose result is a single parameter row (a few values
+per column, like a Spark ML model); apply adds those values as literals, so
+no join and no second pass over the fitted data is needed.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _one_row_join(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame to every row of ``df``."""
-    return (df.withColumn("__one", F.lit(1))
-            .join(F.broadcast(stats.withColumn("__one", F.lit(1))), "__one")
-            .drop("__one"))
+def _with_params(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Attach the values of a one-row statistics frame to every row of ``df``
+    as literals (the row is fetched once: it holds a few numbers per column)."""
+    row = stats.first()
+    return df.withColumns({c: F.lit(row[c]).cast(stats.schema[c].dataType)
+                           for c in stats.columns})
 
 
 # ---------------------------------------------------------------- splits
@@ -60,7 +62,7 @@ def random_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, see
     ceil(test_size * n) rows are 'test', the rest 'train'."""
     h = df.withColumn("__h", hash_key(key_cols, seed))
     n = h.agg(F.count(F.lit(1)).alias("__total"))
-    ranked = _one_row_join(hash_rank(h, "__h"), n)
+    ranked = _with_params(hash_rank(h, "__h"), n)
     k = F.ceil(F.lit(float(test_size)) * F.col("__total"))
     return (ranked.withColumn(label_col, F.when(F.col("__rank") <= k, F.lit("test"))
                               .otherwise(F.lit("train")))
@@ -107,7 +109,7 @@ def fit_minmax(train: DataFrame, cols: list[str]) -> DataFrame:
 
 def apply_minmax(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
     """(x - min) / (max - min); a constant column scales to 0 (sklearn)."""
-    out = _one_row_join(df, stats)
+    out = _with_params(df, stats)
     exprs = {}
     for c in cols:
         rng = F.col(f"__max_{c}") - F.col(f"__min_{c}")
@@ -128,7 +130,7 @@ def fit_robust(train: DataFrame, cols: list[str]) -> DataFrame:
 
 def apply_robust(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
     """(x - median) / IQR; an IQR of 0 divides by 1 (sklearn)."""
-    out = _one_row_join(df, stats)
+    out = _with_params(df, stats)
     exprs = {}
     for c in cols:
         iqr = F.col(f"__q3_{c}") - F.col(f"__q1_{c}")
@@ -154,7 +156,7 @@ def fit_zscore(train: DataFrame, cols: list[str], nan_propagates: bool = True) -
 
 
 def apply_zscore(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
-    out = _one_row_join(df, stats)
+    out = _with_params(df, stats)
     return out.withColumns({c: (F.col(c) - F.col(f"__mu_{c}")) / F.col(f"__sd_{c}")
                             for c in cols}).drop(*[f"__mu_{c}" for c in cols],
                                                  *[f"__sd_{c}" for c in cols])
@@ -167,10 +169,9 @@ def padded_moments(rows: DataFrame, cols: list[str], n_pairs: DataFrame | int,
     divided by the fixed count n_pairs * length. std 0 -> 1."""
     sums = rows.agg(*[F.sum(c).alias(f"__s_{c}") for c in cols],
                     *[F.sum(F.col(c) * F.col(c)).alias(f"__q_{c}") for c in cols])
-    if isinstance(n_pairs, int):
-        sums = sums.withColumn("__pairs", F.lit(n_pairs))
-    else:
-        sums = _one_row_join(sums, n_pairs.agg(F.count(F.lit(1)).alias("__pairs")))
+    if not isinstance(n_pairs, int):
+        n_pairs = n_pairs.count()
+    sums = sums.withColumn("__pairs", F.lit(n_pairs))
     total = F.col("__pairs").cast("double") * F.lit(float(length))
     exprs = []
     for c in cols:
@@ -187,12 +188,11 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """n, MAE, MSE, RMSE, R2 over rows where both values are known."""
     known = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
     e = F.col(actual) - F.col(predicted)
-    base = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
-                     F.avg(e * e).alias("mse"), F.sum(e * e).alias("__sse"),
-                     F.avg(actual).alias("__ybar"))
-    sst = _one_row_join(known.select(actual), base.select("__ybar")).agg(
-        F.sum((F.col(actual) - F.col("__ybar")) ** 2).alias("__sst"))
-    out = _one_row_join(base, sst)
+    ybar = known.agg(F.avg(actual).alias("__ybar")).first()["__ybar"]
+    dev = F.col(actual) - F.lit(ybar).cast("double")
+    out = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
+                    F.avg(e * e).alias("mse"), F.sum(e * e).alias("__sse"),
+                    F.sum(dev * dev).alias("__sst"))
     return out.select("n", "mae", "mse", F.sqrt("mse").alias("rmse"),
                       (F.lit(1.0) - F.try_divide(F.col("__sse"), F.col("__sst"))).alias("r2"))
 

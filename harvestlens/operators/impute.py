@@ -8,7 +8,7 @@ Levels whose keys contain the region use windows partitioned by those keys;
 the frame is hash-partitioned by the region once, so all such levels run
 without another shuffle. A window partition holds one (region, ...) group of
 the weather panel, bounded by the calendar. A level with no keys (global
-median) is a one-row aggregate joined back on a constant key.
+median) is one aggregate whose single row is applied as literals.
 """
 
 from __future__ import annotations
@@ -51,13 +51,11 @@ def impute_levels(df: DataFrame, cols: list[str], levels: list[list[str]],
             out = out.withColumns({c: F.coalesce(F.col(c), F.when(keys_ok, F.median(c).over(w)))
                                    for c in cols})
         else:
-            med = out.agg(*[F.median(c).alias(f"__med_{c}") for c in cols]).withColumn(
-                "__one", F.lit(1))
-            # one row by construction: broadcasting it is always safe
-            out = (out.withColumn("__one", F.lit(1))
-                   .join(F.broadcast(med), "__one")
-                   .withColumns({c: F.coalesce(F.col(c), F.col(f"__med_{c}")) for c in cols})
-                   .drop("__one", *[f"__med_{c}" for c in cols]))
+            # global level: one aggregate row (one value per column), applied
+            # as literals
+            med = out.agg(*[F.median(c).alias(c) for c in cols]).first()
+            out = out.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"))
+                                   for c in cols})
     return out
 
 
