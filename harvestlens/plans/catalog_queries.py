@@ -173,6 +173,16 @@ def _q_station_hourly(spark, sf):
     return round_doubles(_stations_hourly(spark, sf))
 
 
+@_reg("consolidate", _r(cs.station_hourly_sql(), _STATION_H_COLS[2:], _STATION_H_COLS))
+def _q_consolidate(spark, sf):
+    import uuid
+    from harvestlens.sources.stations import consolidate, read_consolidated
+    root = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    path = f"{root}/consolidated-{uuid.uuid4().hex[:12]}"
+    consolidate(_stations_hourly(spark, sf), path)
+    return round_doubles(read_consolidated(spark, path))
+
+
 _STATION_D_COLS = ["dept_id", "day", "temp_air_c", "humidite_relative_pct", "rafale_max_ms",
                    "precipitations_1h_mm", "rayonnement_global_jcm2"]
 

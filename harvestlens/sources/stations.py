@@ -122,8 +122,17 @@ def daily_from_hourly(hourly: DataFrame, mean_cols: list[str] | None = DAILY_MEA
     return hourly.groupBy(region, day).agg(*aggs)
 
 
-def consolidate(frames_or_df: DataFrame, out_path: str, partition_col: str = "dept_id",
+def consolidate(df: DataFrame, out_path: str, region_col: str = "dept_id",
                 mode: str = "overwrite") -> None:
     """Write the region hourly table once, partitioned by region (one
-    directory scan replaces the per-file append loop)."""
-    frames_or_df.write.mode(mode).partitionBy(partition_col).parquet(out_path)
+    directory scan replaces the per-file append loop). The region stays a data
+    column; the directory level is a copy named ``dept`` because partition
+    discovery would turn codes like "01" into the integer 1."""
+    (df.withColumn("dept", F.col(region_col)).write.mode(mode).partitionBy("dept")
+     .parquet(out_path))
+
+
+def read_consolidated(spark, path: str) -> DataFrame:
+    """Read a table written by ``consolidate`` (or the streaming ingestion)."""
+    df = spark.read.parquet(path)
+    return df.drop(*[c for c in ("dept", "batch") if c in df.columns])

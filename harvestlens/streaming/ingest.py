@@ -4,7 +4,7 @@ The reference consolidates per-region station files by looping over them and
 appending to one CSV. Here new files landing in a folder are picked up by a
 file-source stream: each micro-batch is cleaned to region-hourly rows
 (``station_to_region_hourly``) and written below
-``<out>/batch=<id>/dept_id=<region>/``.
+``<out>/batch=<id>/dept=<region>/``.
 
 * One file holds one region, and the file source never splits a file across
   micro-batches, so the per-hour mean over a region's stations is complete
@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from harvestlens.sources.catalog import id_from_path
-from harvestlens.sources.stations import STATION_KEEP, station_to_region_hourly
+from harvestlens.sources.stations import (STATION_KEEP, consolidate, read_consolidated,
+                                          station_to_region_hourly)
 
 _TEXT_COLS = {"NUM_POSTE", "AAAAMMJJHH"}
 
@@ -52,8 +53,7 @@ def ingest_station_files(spark: SparkSession, src_dir: str, out_dir: str,
     hourly = station_to_region_hourly(stream, id_from_path(region_pattern))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite").partitionBy("dept_id")
-         .parquet(f"{out_dir.rstrip('/')}/batch={batch_id}"))
+        consolidate(batch, f"{out_dir.rstrip('/')}/batch={batch_id}")
 
     writer = (hourly.writeStream.outputMode("update").foreachBatch(write_batch)
               .option("checkpointLocation",
@@ -65,4 +65,4 @@ def ingest_station_files(spark: SparkSession, src_dir: str, out_dir: str,
 
 def read_ingested(spark: SparkSession, out_dir: str) -> DataFrame:
     """The consolidated region-hourly table (all batches)."""
-    return spark.read.parquet(out_dir).drop("batch")
+    return read_consolidated(spark, out_dir)

@@ -15,7 +15,7 @@ from harvestlens.operators.impute import impute_levels, impute_three_level, null
 from harvestlens.operators.reshape import (attach_sequences, melt_measure, null_safe_join,
                                            sequences)
 from harvestlens.sources.catalog import Catalog, Dataset, id_from_path, promote_header
-from harvestlens.sources.stations import (consolidate, daily_from_hourly,
+from harvestlens.sources.stations import (consolidate, daily_from_hourly, read_consolidated,
                                           station_to_region_hourly)
 
 
@@ -164,9 +164,9 @@ def test_station_files_to_region_tables(spark, tmp_path):
     assert {r["dept_id"]: r["precipitations_1h_mm"] for r in daily.collect()} == {"01": 1.5, "2A": 1.5}
     out = str(tmp_path / "consolidated")
     consolidate(hourly, out)
-    assert sorted(d for d in os.listdir(out) if d.startswith("dept_id=")) == [
-        "dept_id=01", "dept_id=2A"]
-    assert spark.read.parquet(out).count() == 2
+    assert sorted(d for d in os.listdir(out) if d.startswith("dept=")) == ["dept=01", "dept=2A"]
+    back = read_consolidated(spark, out)
+    assert sorted(r["dept_id"] for r in back.collect()) == ["01", "2A"]
 
 
 def test_promote_header(spark):
