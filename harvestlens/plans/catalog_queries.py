@@ -352,10 +352,10 @@ def _q_pad_code(spark, sf):
 
 
 @_reg("filter_contains", "SELECT p_partkey, lower(p_type) AS p_type FROM part "
-                         "WHERE lower(p_type) LIKE '%brass%'")
+                         "WHERE lower(p_type) LIKE '%medium%'")
 def _q_filter_contains(spark, sf):
     return filter_label_contains(tb.read(spark, sf, "part").select("p_partkey", "p_type"),
-                                 "p_type", "BRASS")
+                                 "p_type", "Medium")
 
 
 @_reg("string_codes", f"SELECT LIB_SAA, STATUT_QUALITE, substr(regexp_replace(LIB_DEP, '^0', ''), 1, 2) "
