@@ -119,13 +119,19 @@ def apply_minmax(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def fit_robust(train: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact median and interquartile range per column (linear interpolation)."""
-    aggs = []
+    """Exact median and quartiles per column (linear interpolation), as a
+    one-row parameter frame (``global_quantiles``: no unbounded merge)."""
+    from pyspark.sql import types as T
+
+    from harvestlens.operators.quantile import global_quantiles
+    qv = global_quantiles(train, cols, [0.5, 0.25, 0.75])
+    names, values = [], []
     for c in cols:
-        aggs += [F.percentile(c, F.lit(0.5)).alias(f"__med_{c}"),
-                 F.percentile(c, F.lit(0.25)).alias(f"__q1_{c}"),
-                 F.percentile(c, F.lit(0.75)).alias(f"__q3_{c}")]
-    return train.agg(*aggs)
+        for tag, q in (("med", 0.5), ("q1", 0.25), ("q3", 0.75)):
+            names.append(f"__{tag}_{c}")
+            values.append(None if qv[(c, q)] is None else float(qv[(c, q)]))
+    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+    return train.sparkSession.createDataFrame([tuple(values)], schema)
 
 
 def apply_robust(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:

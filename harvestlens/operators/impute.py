@@ -53,8 +53,9 @@ def impute_levels(df: DataFrame, cols: list[str], levels: list[list[str]],
         else:
             # global level: one aggregate row (one value per column), applied
             # as literals
-            med = out.agg(*[F.median(c).alias(c) for c in cols]).first()
-            out = out.withColumns({c: F.coalesce(F.col(c), F.lit(med[c]).cast("double"))
+            from harvestlens.operators.quantile import global_quantiles
+            med = global_quantiles(out, cols, [0.5])
+            out = out.withColumns({c: F.coalesce(F.col(c), F.lit(med[(c, 0.5)]).cast("double"))
                                    for c in cols})
     return out
 

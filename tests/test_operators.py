@@ -175,3 +175,21 @@ def test_promote_header(spark):
     out = promote_header(df, 2)
     assert out.columns == ["A", "B", "C"]
     assert sorted(tuple(r) for r in out.collect()) == [("1", "2", "3"), ("4", "5", "6")]
+
+
+def test_global_quantiles_selection_path(spark):
+    from harvestlens.operators.quantile import global_quantiles
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(0, 10, 20000), 3)
+    x[:7000] = 1.5                                   # a value holding a third of the rows
+    pdf = pd.DataFrame({"x": x, "y": rng.integers(0, 5, 20000).astype(float)})
+    pdf.loc[::97, "x"] = np.nan
+    df = spark.createDataFrame(pdf)
+    qs = [0.1, 0.25, 0.5, 0.9, 0.999]
+    fast = global_quantiles(df, ["x", "y"], qs)                       # exact aggregate path
+    sel = global_quantiles(df, ["x", "y"], qs, max_distinct=2, max_collect=50, probes=16)
+    xs = x[~np.isnan(pdf["x"].to_numpy())]
+    for q in qs:
+        assert sel[("x", q)] == pytest.approx(np.quantile(xs, q), abs=1e-9)
+        assert fast[("x", q)] == pytest.approx(sel[("x", q)], abs=1e-9)
+        assert sel[("y", q)] == pytest.approx(np.quantile(pdf["y"], q), abs=1e-9)
