@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlens.functions.calendar import crop_stage, cyclic, date_parts, harvest_year, pad_code
-from harvestlens.functions.calendar import parse_hour_stamp, stage_index
+from harvestlens.functions.calendar import cyclic_encode, parse_hour_stamp
 from harvestlens.functions.columns import (cast_columns, drop_columns, keep_columns,
                                            rename_columns, round_doubles)
 from harvestlens.functions.nulls import rowwise_mean
@@ -308,20 +308,6 @@ def _q_harvest_year(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def cyclic_encode(df: DataFrame, time_col: str = "datetime") -> DataFrame:
-    """sin/cos of hour/24, day/31, month/12 and stage index/6 (replaces the
-    hour, day, month and stage columns when present)."""
-    parts = date_parts(time_col)
-    out = {}
-    for name, src, period in (("heure", parts["heure"], 24), ("jour", parts["jour"], 31),
-                              ("mois", parts["mois"], 12)):
-        s, c = cyclic(src, period)
-        out[f"{name}_sin"], out[f"{name}_cos"] = s, c
-    s, c = cyclic(stage_index(crop_stage(time_col)), 6)
-    out["saison_sin"], out["saison_cos"] = s, c
-    return df.withColumns(out).drop("heure", "jour", "mois", "saison")
-
-
 _CYC = ["heure_sin", "heure_cos", "jour_sin", "jour_cos", "mois_sin", "mois_cos",
         "saison_sin", "saison_cos"]
 
@@ -638,22 +624,11 @@ def _q_baseline_lag1(spark, sf):
     return round_doubles(ds.lag_baseline(t))
 
 
-def score_lookup(scored: DataFrame, region: str, year: int, region_col: str = "DEPT_ID",
-                 year_col: str = "ANNEE") -> DataFrame:
-    """Point lookup of one (region, year) in a scored frame; the region is
-    compared as text. Raises LookupError when no row matches."""
-    hit = scored.filter((F.col(region_col).cast("string") == F.lit(str(region)))
-                        & (F.col(year_col) == F.lit(year))).orderBy(region_col, year_col).limit(1)
-    if hit.isEmpty():
-        raise LookupError(f"no row for {region_col}={region!r}, {year_col}={year}")
-    return hit
-
-
 @_reg("score_lookup", _r(f"SELECT * FROM ({_lag_sql()}) s WHERE DEPT_ID = '05' AND ANNEE = 1998",
                          ["RENDEMENT", "yield_pred"], ["DEPT_ID", "ANNEE", "RENDEMENT", "yield_pred"]))
 def _q_score_lookup(spark, sf):
     t = clean_target(_target(spark, sf)).select("DEPT_ID", "ANNEE", "RENDEMENT")
-    return round_doubles(score_lookup(ds.lag_baseline(t), "05", 1998))
+    return round_doubles(ds.score_lookup(ds.lag_baseline(t), "05", 1998))
 
 
 # ------------------------------------------------------------------ 2.8 reshape
@@ -1004,12 +979,15 @@ def _hourly_training_sql():
 @_reg("training_mart_hourly", _r(_hourly_training_sql(), STATIC_DOUBLES + _HOURLY_DOUBLES,
                                  STATIC_COLS + _HOURLY_NAMES, 7))
 def _q_training_mart_hourly(spark, sf):
-    hourly_mart = build_mart(_hourly(spark, sf), tb.TESTBED_HOURLY, time_col="datetime",
-                             roles=tb.HOURLY_ROLES)
-    # hourly harvest years are 2023-2025; map them onto the target's years
-    shifted = hourly_mart.withColumn("harvest_year", F.col("harvest_year") - F.lit(2023 - 1996))
+    from harvestlens.plans.training import agro_mart_hourly
+    # the hourly panel spans harvest years 2023-2025; they stand for the
+    # target's 1996-1998 (shift 27) and are filtered on the panel's own years
+    shift = 2023 - 1996
+    agro = agro_mart_hourly(_hourly(spark, sf), tb.TESTBED_HOURLY, ["03", "04"],
+                            1995 + shift, 1998 + shift, roles=tb.HOURLY_ROLES)
+    agro = agro.withColumn("harvest_year", F.col("harvest_year") - F.lit(shift))
     out = training_static_hourly(_target(spark, sf), tt.soil_layers(spark, sf),
-                                 tt.ndvi_monthly(spark, sf), shifted, excluded=["03", "04"],
+                                 tt.ndvi_monthly(spark, sf), agro, excluded=["03", "04"],
                                  min_year_exclusive=1995, max_year=1998, pairs=[("05", 1997)])
     return round_doubles(out, 7)
 

@@ -109,6 +109,18 @@ def training_mart_annual(target_long: DataFrame, soil: DataFrame, ndvi_monthly:
     return m.join(weather_annual, KEYS_YEAR, "inner")
 
 
+def agro_mart_hourly(panel: DataFrame, features, excluded: list[str], min_year_exclusive: int,
+                     max_year: int, time_col: str = "datetime", roles: dict | None = None
+                     ) -> DataFrame:
+    """Hourly indicator mart on the panel filtered to the kept regions and
+    years (the single excluded pair is *not* removed here: the reference
+    computes its thresholds with that pair still present)."""
+    from harvestlens.operators.mart import build_mart
+    kept = exclude_values(panel, "DEPT_ID", excluded)
+    kept = exclude_pairs(kept, min_year_exclusive=min_year_exclusive, max_year=max_year)
+    return build_mart(kept, features, time_col=time_col, roles=roles)
+
+
 def training_static_hourly(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFrame,
                            agro_mart: DataFrame, excluded: list[str], min_year_exclusive: int,
                            max_year: int, pairs: list[tuple[str, int]]) -> DataFrame:
