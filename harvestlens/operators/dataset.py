@@ -192,7 +192,11 @@ def padded_moments(rows: DataFrame, cols: list[str], n_pairs: DataFrame | int,
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """n, MAE, MSE, RMSE, R2 over rows where both values are known."""
-    known = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+    from pyspark import StorageLevel
+    known = (df.select(F.col(actual).cast("double").alias(actual),
+                       F.col(predicted).cast("double").alias(predicted))
+             .filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+             .persist(StorageLevel.MEMORY_AND_DISK))      # two passes: mean, then sums
     e = F.col(actual) - F.col(predicted)
     ybar = known.agg(F.avg(actual).alias("__ybar")).first()["__ybar"]
     dev = F.col(actual) - F.lit(ybar).cast("double")

@@ -68,7 +68,19 @@ def global_quantiles(df: DataFrame, cols: list[str], qs: list[float],
                      max_distinct: int = 1_000_000, max_collect: int = 100_000,
                      probes: int = 256) -> dict:
     """{(col, q): exact quantile} with linear interpolation (NULL and NaN
-    ignored; None for an empty column)."""
+    ignored; None for an empty column). The value columns are persisted
+    (memory and disk) for the few passes and released afterwards."""
+    from pyspark import StorageLevel
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _global_quantiles(df, cols, qs, max_distinct, max_collect, probes)
+    finally:
+        df.unpersist()
+
+
+def _global_quantiles(df: DataFrame, cols: list[str], qs: list[float], max_distinct: int,
+                      max_collect: int, probes: int) -> dict:
     stats = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"n_{i}")
                      for i, c in enumerate(cols)],
                    *[F.approx_count_distinct(c, 0.05).alias(f"d_{i}")

@@ -496,9 +496,10 @@ def _annual_sql():
 
 
 @_reg("annual_weather", _r(_annual_sql(), _ANNUAL_MEAN + _ANNUAL_SUM,
-                           ["DEPT_ID", "ANNEE"] + _ANNUAL_MEAN + _ANNUAL_SUM))
+                           ["DEPT_ID", "ANNEE"] + _ANNUAL_MEAN + _ANNUAL_SUM, 8))
 def _q_annual_weather(spark, sf):
-    return round_doubles(annual_weather(_stations_daily(spark, sf), _ANNUAL_MEAN, _ANNUAL_SUM))
+    # yearly means over 2^k days are exact at 7+ decimals: compared at 8 digits
+    return round_doubles(annual_weather(_stations_daily(spark, sf), _ANNUAL_MEAN, _ANNUAL_SUM), 8)
 
 
 @_reg("ndvi_annual", _r(cs.ndvi_annual_sql(), ["ndvi_poly_mean"],
@@ -952,11 +953,11 @@ def _annual_mart_sql():
 
 
 @_reg("training_mart_annual", _r(_annual_mart_sql(), STATIC_DOUBLES + _ANNUAL_MEAN + _ANNUAL_SUM,
-                                 STATIC_COLS + _ANNUAL_MEAN + _ANNUAL_SUM))
+                                 STATIC_COLS + _ANNUAL_MEAN + _ANNUAL_SUM, 8))
 def _q_training_mart_annual(spark, sf):
     weather = annual_weather(_stations_daily(spark, sf), _ANNUAL_MEAN, _ANNUAL_SUM)
     return round_doubles(training_mart_annual(_target(spark, sf), tt.soil_layers(spark, sf),
-                                              tt.ndvi_monthly(spark, sf), weather))
+                                              tt.ndvi_monthly(spark, sf), weather), 8)
 
 
 _HOURLY_NAMES = [f.name for f in tb.TESTBED_HOURLY]

@@ -71,13 +71,14 @@ def daily_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     su = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     t_raw = F.when(F.col("l_returnflag") == "R", F.lit(None).cast("double")).otherwise(
         F.col("l_quantity"))
+    # aggregate on the integer key; the text code is derived on the small result
     panel = (li.join(su, li.l_suppkey == su.s_suppkey)
-             .groupBy(pad_code("s_nationkey").alias("DEPT_ID"),
-                      F.to_date("l_shipdate").alias("day"))
+             .groupBy("s_nationkey", F.to_date("l_shipdate").alias("day"))
              .agg(F.round(F.avg(t_raw), 6).alias("t"),
                   F.round(F.sum("l_tax") * F.lit(100.0), 4).alias("r"),
                   F.round(F.max("l_discount") * F.lit(200.0), 4).alias("g"),
-                  F.round(F.sum("l_extendedprice"), 2).alias("rad")))
+                  F.round(F.sum("l_extendedprice"), 2).alias("rad"))
+             .select(pad_code("s_nationkey").alias("DEPT_ID"), "day", "t", "r", "g", "rad"))
     return panel.withColumn("hum", F.round(F.lit(2.0) * F.col("t"), 6))
 
 
@@ -94,11 +95,12 @@ def hourly_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
     t_raw = F.when(F.col("event_type") == "error", F.lit(None).cast("double")).otherwise(
         F.col("value"))
-    return (ev.groupBy(pad_code(F.col("user_id") % 10).alias("DEPT_ID"),
+    return (ev.groupBy((F.col("user_id") % 10).alias("__region"),
                        F.date_trunc("hour", "ts").alias("datetime"))
             .agg(F.round(F.avg(t_raw), 3).alias("t"),
                  F.round(F.sum("value"), 4).alias("r"),
-                 F.round(F.max("value"), 4).alias("g")))
+                 F.round(F.max("value"), 4).alias("g"))
+            .select(pad_code("__region").alias("DEPT_ID"), "datetime", "t", "r", "g"))
 
 
 def hourly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:

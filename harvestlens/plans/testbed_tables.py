@@ -70,29 +70,34 @@ def _crop(flag: Column) -> Column:
 
 def production_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (nation, return flag): SURF_y = row count, PROD_y = sum of
-    quantities, REND_y = 10 x sum of discounts; a missing year stays NULL."""
+    quantities, REND_y = 10 x sum of discounts; a missing year stays NULL.
+
+    Raw rows are aggregated per (nation, flag, year) on integer keys first;
+    the pivot to year columns and the text labels are computed on that small
+    result, and the nation table is joined after the aggregation."""
     li = read(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_discount",
                                                 "l_returnflag", "l_shipdate")
     su = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    j = li.join(su, li.l_suppkey == su.s_suppkey).join(na, F.col("s_nationkey") == F.col("n_nationkey"))
-    y = F.year("l_shipdate")
+    per_year = (li.join(su, li.l_suppkey == su.s_suppkey)
+                .groupBy("s_nationkey", "l_returnflag", F.year("l_shipdate").alias("year"))
+                .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"),
+                     F.sum(F.col("l_discount") * F.lit(10.0)).alias("d")))
     aggs = []
     for yr in YEARS:
-        in_y = y == F.lit(yr)
-        surf = F.count(F.when(in_y, F.lit(1)))
-        prod = F.sum(F.when(in_y, F.col("l_quantity")))
-        rend = F.sum(F.when(in_y, F.col("l_discount") * F.lit(10.0)))
-        aggs += [F.when(surf > 0, surf.cast("double")).alias(f"SURF_{yr}"),
-                 prod.alias(f"PROD_{yr}"),
-                 F.round(rend, 4).alias(f"REND_{yr}")]
+        in_y = F.col("year") == F.lit(yr)
+        aggs += [F.max(F.when(in_y, F.col("n").cast("double"))).alias(f"SURF_{yr}"),
+                 F.max(F.when(in_y, F.col("q"))).alias(f"PROD_{yr}"),
+                 F.round(F.max(F.when(in_y, F.col("d"))), 4).alias(f"REND_{yr}")]
+    wide = per_year.groupBy("s_nationkey", "l_returnflag").agg(*aggs)
+    wide = wide.join(na, F.col("s_nationkey") == F.col("n_nationkey"))
     statut = F.when(F.col("n_regionkey") == 4, F.lit(None).cast("string")).when(
         F.col("n_regionkey") % 2 == 0, F.lit("Définitif")).otherwise(F.lit("Provisoire"))
-    return (j.groupBy(F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("LIB_REG2"),
-                      _label(F.col("n_nationkey"), F.col("n_name")).alias("LIB_DEP"),
-                      _crop(F.col("l_returnflag")).alias("LIB_SAA"),
-                      statut.alias("STATUT_QUALITE"))
-            .agg(*aggs))
+    return wide.select(F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("LIB_REG2"),
+                       _label(F.col("n_nationkey"), F.col("n_name")).alias("LIB_DEP"),
+                       _crop(F.col("l_returnflag")).alias("LIB_SAA"),
+                       statut.alias("STATUT_QUALITE"),
+                       *[f"{m}_{yr}" for yr in YEARS for m in ("SURF", "PROD", "REND")])
 
 
 # 13 soil variables from lineitem measures (sums of exact decimals, scaled).
@@ -115,26 +120,32 @@ SOIL_EXPR = {  # built lazily: Columns need an active session
 
 def soil_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per nation: DEPT_ID, dept_nom and 13 x 6 ``{var}_{depth}_mean``
-    columns (line number k = k-th depth layer), in one conditional aggregate."""
-    li = read(spark, sf_dir, "lineitem")
+    columns (line number k = k-th depth layer). Sums per (nation, line number)
+    first; the pivot to depth columns runs on that small result."""
+    li = read(spark, sf_dir, "lineitem").filter(F.col("l_linenumber").between(1, len(DEPTHS)))
     su = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = li.join(su, li.l_suppkey == su.s_suppkey).join(na, F.col("s_nationkey") == F.col("n_nationkey"))
-    aggs = []
-    for var in SOIL_VARS:
-        for k, depth in enumerate(DEPTHS, start=1):
-            val = F.when(F.col("l_linenumber") == k, SOIL_EXPR[var]())
-            aggs.append(F.round(F.sum(val), 4).alias(f"{var}_{depth}_mean"))
-    return j.groupBy(pad_code("s_nationkey").alias("DEPT_ID"),
-                     F.col("n_name").alias("dept_nom")).agg(*aggs)
+    layers = (li.join(su, li.l_suppkey == su.s_suppkey)
+              .groupBy("s_nationkey", "l_linenumber")
+              .agg(*[F.sum(SOIL_EXPR[v]()).alias(v) for v in SOIL_VARS]))
+    aggs = [F.round(F.max(F.when(F.col("l_linenumber") == k, F.col(var))), 4)
+            .alias(f"{var}_{depth}_mean")
+            for var in SOIL_VARS for k, depth in enumerate(DEPTHS, start=1)]
+    wide = layers.groupBy("s_nationkey").agg(*aggs)
+    wide = wide.join(na, F.col("s_nationkey") == F.col("n_nationkey"))
+    return wide.select(pad_code("s_nationkey").alias("DEPT_ID"), F.col("n_name").alias("dept_nom"),
+                       *[f"{v}_{d}_mean" for v in SOIL_VARS for d in DEPTHS])
 
 
 def ndvi_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     na = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = o.join(c, o.o_custkey == c.c_custkey).join(na, F.col("c_nationkey") == F.col("n_nationkey"))
-    return (j.groupBy(pad_code("c_nationkey").alias("DEPT_ID"),
-                      F.col("n_name").alias("department_name"),
-                      F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-            .agg(F.round(F.avg("o_totalprice") / 1000.0, 2).alias("ndvi_poly_mean")))
+    monthly = (o.join(c, o.o_custkey == c.c_custkey)
+               .groupBy("c_nationkey", F.year("o_orderdate").alias("year"),
+                        F.month("o_orderdate").alias("month"))
+               .agg(F.round(F.avg("o_totalprice") / 1000.0, 2).alias("ndvi_poly_mean")))
+    monthly = monthly.join(na, F.col("c_nationkey") == F.col("n_nationkey"))
+    return monthly.select(pad_code("c_nationkey").alias("DEPT_ID"),
+                          F.col("n_name").alias("department_name"), "year", "month",
+                          "ndvi_poly_mean")

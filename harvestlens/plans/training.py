@@ -90,23 +90,30 @@ def weather_daily_clean(daily: DataFrame, region: str = "dept_id", day: str = "d
     return impute_two_level(df, [c for c in impute if c in df.columns])
 
 
+def _materialize(df: DataFrame, materialize: bool) -> DataFrame:
+    """Training tables are read many times (splits, scalers, folds, fits):
+    write them once to the shared checkpoint folder, which also cuts the
+    lineage (a lost executor re-reads the table instead of the pipeline)."""
+    return df.checkpoint(eager=True) if materialize else df
+
+
 def training_mart(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFrame,
-                  weather_mart: DataFrame) -> DataFrame:
+                  weather_mart: DataFrame, materialize: bool = True) -> DataFrame:
     """target (cleaned) x soil x yearly NDVI x weather features."""
     target = clean_target(target_long)
     m = join_static(target, soil)
     m = join_suffixed(m, ndvi_annual(ndvi_monthly), KEYS_YEAR)
     m = m.withColumnRenamed("ANNEE", "harvest_year")
-    return m.join(weather_mart, KEYS_HARVEST, "inner")
+    return _materialize(m.join(weather_mart, KEYS_HARVEST, "inner"), materialize)
 
 
 def training_mart_annual(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFrame,
-                         weather_annual: DataFrame) -> DataFrame:
+                         weather_annual: DataFrame, materialize: bool = True) -> DataFrame:
     """Calendar-year variant: weather aggregated per (DEPT_ID, ANNEE)."""
     target = clean_target(target_long)
     m = join_static(target, soil)
     m = join_suffixed(m, ndvi_annual(ndvi_monthly), KEYS_YEAR)
-    return m.join(weather_annual, KEYS_YEAR, "inner")
+    return _materialize(m.join(weather_annual, KEYS_YEAR, "inner"), materialize)
 
 
 def agro_mart_hourly(panel: DataFrame, features, excluded: list[str], min_year_exclusive: int,
@@ -123,7 +130,8 @@ def agro_mart_hourly(panel: DataFrame, features, excluded: list[str], min_year_e
 
 def training_static_hourly(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFrame,
                            agro_mart: DataFrame, excluded: list[str], min_year_exclusive: int,
-                           max_year: int, pairs: list[tuple[str, int]]) -> DataFrame:
+                           max_year: int, pairs: list[tuple[str, int]],
+                           materialize: bool = True) -> DataFrame:
     """Hourly path: static sources x hourly-feature mart with the year range,
     exclusions and the single dropped pair, joined on (DEPT_ID, ANNEE) =
     (DEPT_ID, harvest_year). The mart is computed *before* the pair is
@@ -135,4 +143,4 @@ def training_static_hourly(target_long: DataFrame, soil: DataFrame, ndvi_monthly
     agro = exclude_values(agro_mart, "DEPT_ID", excluded)
     agro = exclude_pairs(agro, min_year_exclusive=min_year_exclusive, max_year=max_year,
                          pairs=pairs)
-    return join_renamed_key(m, agro, KEYS_YEAR, KEYS_HARVEST)
+    return _materialize(join_renamed_key(m, agro, KEYS_YEAR, KEYS_HARVEST), materialize)
