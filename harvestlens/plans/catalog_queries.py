@@ -993,6 +993,24 @@ def _q_training_mart_hourly(spark, sf):
     return round_doubles(out, 7)
 
 
+@_reg("sequence_dataset", None)
+def _q_sequence_dataset(spark, sf):
+    """Hourly sequence dataset (rows-only: nested normalised arrays); its
+    steps are checked one by one by impute_three_level, cyclic_encode,
+    sequence_pad, seq_join, zscore_sequence and zscore_static."""
+    from harvestlens.plans.sequences import sequence_dataset
+    shift = 2023 - 1996
+    static = _static(spark, sf).select(
+        "DEPT_ID", (F.col("ANNEE") + F.lit(shift)).alias("harvest_year"),
+        "ndvi_poly_mean", F.col("`silt_0-5cm_mean`").alias("silt_surface"))
+    data, _ = sequence_dataset(_hourly(spark, sf), static, ["ndvi_poly_mean", "silt_surface"],
+                               length=48, excluded=["03", "04"], min_year_exclusive=2022,
+                               max_year=2025, pairs_dropped=[("05", 2024)], train_max=2023,
+                               val_years=(2024,), test_min=2025)
+    return data.select("DEPT_ID", "harvest_year", "split", "n_steps", F.size("seq").alias("steps"),
+                       "ndvi_poly_mean", "silt_surface", "seq")
+
+
 def register(q: dict, sql: dict) -> None:
     q.update(Q)
     sql.update({k: v for k, v in SQL.items() if v is not None})

@@ -193,3 +193,33 @@ def test_global_quantiles_selection_path(spark):
         assert sel[("x", q)] == pytest.approx(np.quantile(xs, q), abs=1e-9)
         assert fast[("x", q)] == pytest.approx(sel[("x", q)], abs=1e-9)
         assert sel[("y", q)] == pytest.approx(np.quantile(pdf["y"], q), abs=1e-9)
+
+
+def test_sequence_dataset_end_to_end(spark):
+    from harvestlens.functions.calendar import crop_stage, harvest_year as hy
+    from harvestlens.plans.sequences import sequence_dataset
+    rows = []
+    for d in ("01", "02"):
+        for h in range(6):
+            rows.append((d, pd.Timestamp(2020, 1, 1, h).to_pydatetime(), float(h) if h != 2 else None))
+            rows.append((d, pd.Timestamp(2021, 1, 1, h).to_pydatetime(), float(h + 1)))
+    panel = spark.createDataFrame(rows, "DEPT_ID string, datetime timestamp, t double")
+    panel = panel.withColumns({"harvest_year": hy("datetime"), "saison": crop_stage("datetime")})
+    static = spark.createDataFrame([("01", 2020, 1.0), ("02", 2020, 3.0), ("01", 2021, 5.0),
+                                    ("02", 2021, 7.0), ("01", 2019, 2.0)],
+                                   "DEPT_ID string, harvest_year int, s double")
+    data, feats = sequence_dataset(panel, static, ["s"], length=8, min_year_exclusive=2018,
+                                   max_year=2022, train_max=2020, val_years=(2021,),
+                                   test_min=2022)
+    out = {(r["DEPT_ID"], r["harvest_year"]): r for r in data.collect()}
+    assert len(out) == 5 and "t" in feats and "heure_sin" in feats
+    assert out[("01", 2019)]["n_steps"] == 0 and out[("01", 2020)]["n_steps"] == 6
+    assert out[("01", 2021)]["split"] == "val"
+    # train moments: pairs (01,2019), (01,2020), (02,2020) x 8 steps, padding counted
+    ti = feats.index("t")
+    imputed = [0.0, 1.0, 3.0, 3.0, 4.0, 5.0]          # hour-2 null -> (region, hour) median 3
+    arr = np.array(imputed * 2 + [0.0] * (3 * 8 - 12))
+    got = out[("01", 2020)]["seq"][1][ti]
+    assert got == pytest.approx((1.0 - arr.mean()) / arr.std())
+    s = np.array([2.0, 1.0, 3.0])
+    assert out[("02", 2021)]["s"] == pytest.approx((7.0 - s.mean()) / s.std())
