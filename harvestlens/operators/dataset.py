@@ -191,7 +191,8 @@ def padded_moments(rows: DataFrame, cols: list[str], n_pairs: DataFrame | int,
 # ---------------------------------------------------------------- metrics
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """n, MAE, MSE, RMSE, R2 over rows where both values are known."""
+    """n, MAE, MSE, RMSE, R2 over rows where both values are known (two
+    aggregate passes over the two projected columns; one result row)."""
     from pyspark import StorageLevel
     known = (df.select(F.col(actual).cast("double").alias(actual),
                        F.col(predicted).cast("double").alias(predicted))
@@ -200,11 +201,17 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     e = F.col(actual) - F.col(predicted)
     ybar = known.agg(F.avg(actual).alias("__ybar")).first()["__ybar"]
     dev = F.col(actual) - F.lit(ybar).cast("double")
-    out = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
+    row = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
                     F.avg(e * e).alias("mse"), F.sum(e * e).alias("__sse"),
-                    F.sum(dev * dev).alias("__sst"))
-    return out.select("n", "mae", "mse", F.sqrt("mse").alias("rmse"),
-                      (F.lit(1.0) - F.try_divide(F.col("__sse"), F.col("__sst"))).alias("r2"))
+                    F.sum(dev * dev).alias("__sst")).first()
+    known.unpersist()
+    from pyspark.sql import types as T
+    rmse = None if row["mse"] is None else row["mse"] ** 0.5
+    r2 = (None if row["__sse"] is None or not row["__sst"]
+          else 1.0 - row["__sse"] / row["__sst"])
+    schema = T.StructType([T.StructField("n", T.LongType()),
+                           *[T.StructField(c, T.DoubleType()) for c in ("mae", "mse", "rmse", "r2")]])
+    return df.sparkSession.createDataFrame([(row["n"], row["mae"], row["mse"], rmse, r2)], schema)
 
 
 def lag_baseline(df: DataFrame, region: str = "DEPT_ID", year: str = "ANNEE",
