@@ -66,7 +66,8 @@ def sequences(df: DataFrame, keys: list[str], order_col: str, feature_cols: list
 
     Rows beyond ``length`` are dropped *before* collecting (row number in a
     window per key), so the collected array per key is bounded by
-    ``length`` x features.
+    ``length`` x features. Input is a panel (one row per key and time step),
+    so the window partition is bounded by the calendar as well.
     """
     w = Window.partitionBy(*keys).orderBy(order_col)
     ranked = (df.withColumn("__pos", F.row_number().over(w))

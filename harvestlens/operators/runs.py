@@ -2,6 +2,10 @@
 
 The mart builder computes runs without run ids (position in run); these
 operators expose the row-level forms for callers that want them.
+
+Precondition (as for the mart): one row per key and time step, i.e. a panel
+aggregated from raw readings first. A window partition then holds one key's
+calendar (years x steps), however large or skewed the raw data is.
 """
 
 from __future__ import annotations
