@@ -49,6 +49,7 @@ class Quantile:
     (region, harvest year) (``scope='region_year'``)."""
     q: float
     scope: str = "region"
+    approx: bool = False      # percentile_approx (no interpolation) instead of exact
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,7 @@ class Feature:
     limit: float | None = None     # low_count limit
     unit: float = 1.0              # divisor (24 turns hourly counts into days)
     ndigits: int | None = None     # round rolling sums / means before comparing
+    approx: bool = False           # approximate quantile for roll_exceed / mean_exceed
     extra: dict = field(default_factory=dict, compare=False)
 
     def __post_init__(self):

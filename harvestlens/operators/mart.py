@@ -53,6 +53,17 @@ def _maybe_round(c: Column, ndigits: int | None) -> Column:
     return F.round(c, ndigits) if ndigits is not None else c
 
 
+APPROX_ACCURACY = 10000
+
+
+def _quantile(c: Column, q: float, approx: bool) -> Column:
+    """Exact (linear interpolation) by default; ``approx`` uses the mergeable
+    sketch of ``percentile_approx`` (returns a data value, no interpolation)."""
+    if approx:
+        return F.percentile_approx(c, F.lit(q), APPROX_ACCURACY)
+    return F.percentile(c, F.lit(q))
+
+
 class _Plan:
     """Collects window columns (by phase) and aggregate columns for features."""
 
@@ -87,8 +98,8 @@ class _Plan:
             return F.lit(float(th))
         name = f"__thr_{_safe(f.name)}_{i}"
         w = self.w_region_all if th.scope == "region" else self.w_key_all
-        self.phase1[name] = F.percentile(F.when(self.in_stage(f), self.m(term.role)),
-                                         F.lit(th.q)).over(w)
+        self.phase1[name] = _quantile(F.when(self.in_stage(f), self.m(term.role)),
+                                      th.q, th.approx).over(w)
         return F.col(name)
 
     def cond(self, f: Feature) -> Column:
@@ -130,7 +141,7 @@ class _Plan:
             name = f"__roll_{_safe(f.name)}"
             roll = self._rolling(f, self.w_region, name)
             thr = f"__rthr_{_safe(f.name)}"
-            self.phase2[thr] = F.percentile(F.when(st, roll), F.lit(f.q)).over(self.w_region_all)
+            self.phase2[thr] = _quantile(F.when(st, roll), f.q, f.approx).over(self.w_region_all)
             col = F.sum(F.when(st & roll.isNotNull(), (roll > F.col(thr)).cast("int")))
         elif k == "run_max":
             pos, _ = self.run_columns(f)
@@ -146,7 +157,7 @@ class _Plan:
             self.aggs.append(_maybe_round(F.avg(F.when(st, self.m(f.value))), f.ndigits)
                              .alias(mean_name))
             self.aggs.append(F.max(st.cast("int")).alias(has_name))
-            thr = F.percentile(F.col(mean_name), F.lit(f.q)).over(
+            thr = _quantile(F.col(mean_name), f.q, f.approx).over(
                 Window.partitionBy(self.region))
             self.post[f.name] = F.when(F.col(has_name) == 1,
                                        flag(F.col(mean_name) > thr).cast("int"))

@@ -181,3 +181,20 @@ def test_plan_has_single_exchange(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # one hash exchange on the region for the whole mart (inputs come from a local relation)
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_approx_quantile_option(spark):
+    pdf = bf.random_daily_panel(4, n_dept=2)
+    exact = override(DAILY_FEATURES, ROUNDED)
+    approx = [f.with_(approx=True) if f.kind in ("roll_exceed", "mean_exceed") else f
+              for f in exact]
+    approx = [f.with_(terms=tuple(Term(t.role, t.op, Quantile(t.threshold.q, t.threshold.scope, True))
+                                  if isinstance(t.threshold, Quantile) else t for t in f.terms))
+              for f in approx]
+    panel = _spark_panel(spark, pdf)
+    a = build_mart(panel, approx).toPandas().sort_values(["DEPT_ID", "harvest_year"])
+    e = build_mart(panel, exact).toPandas().sort_values(["DEPT_ID", "harvest_year"])
+    assert list(a.columns) == list(e.columns) and len(a) == len(e)
+    same = [f.name for f in exact if f.kind not in ("roll_exceed", "mean_exceed")
+            and not any(isinstance(t.threshold, Quantile) for t in f.terms)]
+    _compare(a[["DEPT_ID", "harvest_year"] + same], e[["DEPT_ID", "harvest_year"] + same])
