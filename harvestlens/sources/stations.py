@@ -122,6 +122,19 @@ def daily_from_hourly(hourly: DataFrame, mean_cols: list[str] | None = DAILY_MEA
     return hourly.groupBy(region, day).agg(*aggs)
 
 
+def daily_from_consolidated(raw: DataFrame, region: str = "dept_id",
+                            time_col: str = "datetime") -> DataFrame:
+    """Consolidated region-hourly CSV -> daily panel: drop rows whose
+    altitude is not numeric (repeated header lines), cast every rule column
+    that exists to double, parse the time, aggregate by the daily rules."""
+    from harvestlens.functions.columns import cast_columns
+    from harvestlens.sources.catalog import filter_numeric
+    df = filter_numeric(raw, "altitude_m") if "altitude_m" in raw.columns else raw
+    df = cast_columns(df, {c: "double" for c in DAILY_MEAN_COLS + DAILY_SUM_COLS + ["altitude_m"]})
+    df = df.withColumn(time_col, F.to_timestamp(F.col(time_col)))
+    return daily_from_hourly(df, region=region, time_col=time_col)
+
+
 def consolidate(df: DataFrame, out_path: str, region_col: str = "dept_id",
                 mode: str = "overwrite") -> None:
     """Write the region hourly table once, partitioned by region (one

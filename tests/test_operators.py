@@ -223,3 +223,18 @@ def test_sequence_dataset_end_to_end(spark):
     assert got == pytest.approx((1.0 - arr.mean()) / arr.std())
     s = np.array([2.0, 1.0, 3.0])
     assert out[("02", 2021)]["s"] == pytest.approx((7.0 - s.mean()) / s.std())
+
+
+def test_daily_from_consolidated(spark, tmp_path):
+    from harvestlens.sources.stations import daily_from_consolidated
+    p = tmp_path / "full.csv"
+    pd.DataFrame({"dept_id": ["01", "altitude_m", "01", "01"],
+                  "datetime": ["2024-01-01 00:00:00", "datetime", "2024-01-01 01:00:00",
+                               "2024-01-02 00:00:00"],
+                  "altitude_m": ["100", "altitude_m", "100", "100"],
+                  "temp_air_c": ["1.0", "temp_air_c", "3.0", ""],
+                  "precipitations_1h_mm": ["1.0", "x", "", ""]}).to_csv(p, index=False)
+    raw = spark.read.option("header", True).csv(str(p))
+    got = {str(r["day"]): r for r in daily_from_consolidated(raw).collect()}
+    assert got["2024-01-01"]["temp_air_c"] == 2.0 and got["2024-01-01"]["precipitations_1h_mm"] == 1.0
+    assert got["2024-01-02"]["temp_air_c"] is None and got["2024-01-02"]["precipitations_1h_mm"] == 0.0
