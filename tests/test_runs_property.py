@@ -4,7 +4,6 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from harvestlens.operators.features import Feature, Term
 from harvestlens.operators.mart import build_mart, label_stages
