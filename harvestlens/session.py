@@ -30,6 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("HL_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # window-heavy stages (the mart) are CPU-bound on few bytes: let AQE
+        # keep small shuffle partitions instead of merging them into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for k, v in REQUIRED_CONF.items():
         builder = builder.config(k, v)
