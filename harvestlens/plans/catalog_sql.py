@@ -131,7 +131,7 @@ def station_sql() -> str:
   strftime(l.l_shipdate, '%Y%m%d') || lpad(CAST(l.l_linenumber * 3 AS VARCHAR), 2, '0') AS AAAAMMJJHH,
   CASE WHEN l.l_returnflag = 'R' THEN NULL ELSE l.l_quantity END AS T,
   l.l_tax * 100.0 AS RR1, l.l_discount * 200.0 AS FXI, l.l_quantity * 2.0 AS U,
-  l.l_extendedprice / 100.0 AS GLO, l.l_orderkey AS Q_EXTRA
+  round(l.l_extendedprice / 1000.0, 1) AS GLO, l.l_orderkey AS Q_EXTRA
 FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey"""
 
 

@@ -50,7 +50,7 @@ def station_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_tax") * 100.0).alias("RR1"),
         (F.col("l_discount") * 200.0).alias("FXI"),
         (F.col("l_quantity") * 2.0).alias("U"),
-        (F.col("l_extendedprice") / 100.0).alias("GLO"),
+        F.round(F.col("l_extendedprice") / 1000.0, 1).alias("GLO"),
         F.col("l_orderkey").alias("Q_EXTRA"),
     )
 
