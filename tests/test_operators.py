@@ -238,3 +238,10 @@ def test_daily_from_consolidated(spark, tmp_path):
     got = {str(r["day"]): r for r in daily_from_consolidated(raw).collect()}
     assert got["2024-01-01"]["temp_air_c"] == 2.0 and got["2024-01-01"]["precipitations_1h_mm"] == 1.0
     assert got["2024-01-02"]["temp_air_c"] is None and got["2024-01-02"]["precipitations_1h_mm"] == 0.0
+
+
+def test_checkpoint_dir_is_kept_when_set(spark):
+    from harvestlens.session import ensure_checkpoint_dir
+    before = spark.conf.get("spark.checkpoint.dir")
+    assert ensure_checkpoint_dir(spark) == before
+    assert spark.sparkContext.getCheckpointDir() is not None
