@@ -54,6 +54,9 @@ def impute_levels(df: DataFrame, cols: list[str], levels: list[list[str]],
             # global level: one aggregate row (one value per column), applied
             # as literals
             from harvestlens.operators.quantile import global_quantiles
+            # the global median and the fill both read the windowed levels:
+            # write them once to the shared checkpoint folder
+            out = out.checkpoint(eager=True)
             med = global_quantiles(out, cols, [0.5])
             out = out.withColumns({c: F.coalesce(F.col(c), F.lit(med[(c, 0.5)]).cast("double"))
                                    for c in cols})
