@@ -198,3 +198,33 @@ def test_approx_quantile_option(spark):
     same = [f.name for f in exact if f.kind not in ("roll_exceed", "mean_exceed")
             and not any(isinstance(t.threshold, Quantile) for t in f.terms)]
     _compare(a[["DEPT_ID", "harvest_year"] + same], e[["DEPT_ID", "harvest_year"] + same])
+
+
+def test_hourly_reference_defaults_all_stages(spark):
+    rng = np.random.default_rng(9)
+    hours = pd.date_range("2019-12-01", "2020-08-31 23:00", freq="h")
+    rows = []
+    for d in ("01", "59"):
+        keep = rng.random(len(hours)) > 0.03
+        base = 14 + 12 * np.sin((hours.dayofyear.to_numpy() - 110) / 365 * 2 * np.pi)
+        temp = np.round(base + 5 * np.sin(hours.hour.to_numpy() / 24 * 2 * np.pi)
+                        + rng.normal(0, 2, len(hours)))
+        rain = np.round(np.maximum(0, rng.normal(-0.5, 1.5, len(hours))), 1)
+        hum = np.round(rng.uniform(70, 100, len(hours)))
+        rad = np.round(rng.uniform(0, 300, len(hours)), -1)
+        gust = np.round(rng.uniform(0, 25, len(hours)))
+        for i in np.flatnonzero(keep):
+            rows.append({"DEPT_ID": d, "datetime": hours[i].to_pydatetime(),
+                         "temp_air_c": float(temp[i]), "precipitations_1h_mm": float(rain[i]),
+                         "humidite_relative_pct": float(hum[i]),
+                         "rayonnement_global_jcm2": float(rad[i]), "rafale_max_ms": float(gust[i])})
+    pdf = pd.DataFrame(rows)
+    pdf.loc[rng.random(len(pdf)) < 0.01, "temp_air_c"] = np.nan
+    ts = pd.to_datetime(pdf["datetime"])
+    pdf["harvest_year"] = (ts.dt.year + (ts.dt.month >= 9).astype(int)).astype("int32")
+    feats = override(HOURLY_FEATURES, {f.name: {"ndigits": 6} for f in HOURLY_FEATURES
+                                       if f.kind in ("roll_max", "roll_exceed", "mean_exceed")})
+    got = build_mart(_spark_panel(spark, pdf, "datetime"), feats, time_col="datetime").toPandas()
+    exp = bf.mart(bf.with_season(pdf, "datetime"), feats, time_col="datetime")
+    _compare(got, exp)
+    assert got["floraison_cumul_pluie_10j_max"].notna().all()
