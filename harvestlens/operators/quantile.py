@@ -40,9 +40,11 @@ def _kth(vals: DataFrame, k: int, max_collect: int, probes: int):
         if hi is not None:
             cur = cur.filter(F.col("v") < F.lit(hi))
         counts = cur.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-        if counts.limit(max_collect + 1).count() <= max_collect:
+        # bounded top-k (at most max_collect + 1 rows reach the driver)
+        head = counts.orderBy("v").limit(max_collect + 1).collect()
+        if len(head) <= max_collect:
             seen = before
-            for row in counts.orderBy("v").collect():
+            for row in head:
                 seen += row["c"]
                 if seen > k:
                     return row["v"]
