@@ -9,7 +9,11 @@ document and get the same result; rows sharing only the doc_id stay apart.
 from __future__ import annotations
 
 import atexit
+import hashlib
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,3 +85,29 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors (Spark distributes the archive), so that Python
+    workers can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    files = sorted(root.rglob("*.py"))
+    mark = hashlib.sha1(b"".join(f.read_bytes() for f in files)).hexdigest()[:12]
+    archive = Path(tempfile.mkdtemp()) / f"{root.name}-{mark}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in files:
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)

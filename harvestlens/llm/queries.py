@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from . import hilbert_sharding, line_dedup
+from . import best_fit_packing, decontamination, hilbert_sharding, line_dedup
 
 
 def register(queries: dict, sql: dict) -> None:
     queries["op1_line_dedup"] = line_dedup.op1_line_dedup
     sql["op1_line_dedup"] = line_dedup.ORACLE
+    queries["op2_best_fit_packing"] = best_fit_packing.op2_best_fit_packing
+    queries["op7_decontamination"] = decontamination.op7_decontamination
+    sql["op7_decontamination"] = decontamination.ORACLE
     queries["op10_hilbert_sharding"] = hilbert_sharding.op10_hilbert_sharding
