@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import best_fit_packing, decontamination, hilbert_sharding, line_dedup
+from . import (best_fit_packing, decontamination, hilbert_sharding, language_id, licence_scan,
+               line_dedup)
 
 
 def register(queries: dict, sql: dict) -> None:
     queries["op1_line_dedup"] = line_dedup.op1_line_dedup
     sql["op1_line_dedup"] = line_dedup.ORACLE
     queries["op2_best_fit_packing"] = best_fit_packing.op2_best_fit_packing
+    queries["op5_language_id"] = language_id.op5_language_id
     queries["op7_decontamination"] = decontamination.op7_decontamination
     sql["op7_decontamination"] = decontamination.ORACLE
+    queries["op9_licence_scan"] = licence_scan.op9_licence_scan
     queries["op10_hilbert_sharding"] = hilbert_sharding.op10_hilbert_sharding
