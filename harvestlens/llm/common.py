@@ -78,13 +78,23 @@ def _clean() -> None:
         p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
+# Spark removes a write's shuffle files as soon as the write has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage is cut and a lost
-    executor's part is read again instead of being computed again. Meant for tables
-    that are small beside the input (metadata, counts), used more than once."""
-    path = scratch(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once to the shared folder and read it back: lineage is cut, a lost
+    executor's part is read again instead of being computed again, and the shuffles below
+    it are freed. Meant for tables used more than once or at the end of a long step."""
+    spark = df.sparkSession
+    path = scratch(spark)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()

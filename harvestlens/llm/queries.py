@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (best_fit_packing, decontamination, hilbert_sharding, language_id, licence_scan,
-               line_dedup, probminhash_dedup)
+               line_dedup, probminhash_dedup, substring_dedup)
 
 
 def register(queries: dict, sql: dict) -> None:
@@ -14,5 +14,6 @@ def register(queries: dict, sql: dict) -> None:
     queries["op5_language_id"] = language_id.op5_language_id
     queries["op7_decontamination"] = decontamination.op7_decontamination
     sql["op7_decontamination"] = decontamination.ORACLE
+    queries["op8_prefix_free_dedup"] = substring_dedup.op8_prefix_free_dedup
     queries["op9_licence_scan"] = licence_scan.op9_licence_scan
     queries["op10_hilbert_sharding"] = hilbert_sharding.op10_hilbert_sharding
