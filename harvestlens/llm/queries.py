@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (best_fit_packing, decontamination, hilbert_sharding, language_id, licence_scan,
-               line_dedup, probminhash_dedup, substring_dedup)
+from . import (best_fit_packing, decontamination, hilbert_sharding, language_id, lattice_lm,
+               licence_scan, line_dedup, probminhash_dedup, substring_dedup)
 
 
 def register(queries: dict, sql: dict) -> None:
@@ -12,6 +12,7 @@ def register(queries: dict, sql: dict) -> None:
     queries["op2_best_fit_packing"] = best_fit_packing.op2_best_fit_packing
     queries["op4_probminhash_dedup"] = probminhash_dedup.op4_probminhash_dedup
     queries["op5_language_id"] = language_id.op5_language_id
+    queries["op6_lattice_lm"] = lattice_lm.op6_lattice_lm
     queries["op7_decontamination"] = decontamination.op7_decontamination
     sql["op7_decontamination"] = decontamination.ORACLE
     queries["op8_prefix_free_dedup"] = substring_dedup.op8_prefix_free_dedup
