@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from . import (best_fit_packing, decontamination, hilbert_sharding, language_id, lattice_lm,
-               licence_scan, line_dedup, probminhash_dedup, substring_dedup)
+               licence_scan, line_dedup, pq_dedup, probminhash_dedup, substring_dedup)
 
 
 def register(queries: dict, sql: dict) -> None:
     queries["op1_line_dedup"] = line_dedup.op1_line_dedup
     sql["op1_line_dedup"] = line_dedup.ORACLE
     queries["op2_best_fit_packing"] = best_fit_packing.op2_best_fit_packing
+    queries["op3_pq_dedup"] = pq_dedup.op3_pq_dedup
     queries["op4_probminhash_dedup"] = probminhash_dedup.op4_probminhash_dedup
     queries["op5_language_id"] = language_id.op5_language_id
     queries["op6_lattice_lm"] = lattice_lm.op6_lattice_lm
