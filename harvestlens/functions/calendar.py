@@ -80,8 +80,10 @@ def parse_hour_stamp(stamp: str | Column) -> Column:
 
 
 def pad_code(code: str | Column, width: int = 2) -> Column:
-    """Integer or string region code as a zero-padded string ("1" -> "01")."""
-    return F.lpad(_c(code).cast("string"), width, "0")
+    """Integer or string region code as a zero-padded string ("1" -> "01"). Longer codes
+    stay as they are ("974")."""
+    text = _c(code).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
 
 
 def cyclic_encode(df: DataFrame, time_col: str = "datetime") -> DataFrame:

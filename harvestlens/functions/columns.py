@@ -27,10 +27,16 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cast the listed columns that exist (``try_cast``: bad text -> NULL)."""
-    present = {c: t for c, t in types.items() if c in df.columns}
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in present.items()})
+def cast_columns(df: DataFrame, types: dict[str, str], strict: bool = True) -> DataFrame:
+    """Cast the listed columns that exist. A value that can't be cast raises, or becomes
+    NULL with ``strict=False``."""
+    out = {}
+    for c, t in types.items():
+        if c in df.columns:
+            value = F.col(c).try_cast(t)
+            bad = F.raise_error(F.concat(F.lit(f"{c}: not a {t}: "), F.col(c).cast("string"))).cast(t)
+            out[c] = F.when(F.col(c).isNotNull() & value.isNull(), bad).otherwise(value) if strict else value
+    return df.withColumns(out) if out else df
 
 
 def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:

@@ -24,17 +24,6 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def flag_int(cond: Column) -> Column:
-    return flag(cond).cast("int")
-
-
-def clip_lower(x: str | Column, lower: float = 0.0) -> Column:
-    """``max(x, lower)``; NULL stays NULL (pandas ``clip`` keeps NaN)."""
-    x = _c(x)
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.greatest(x, F.lit(float(lower))))
-
-
 def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Replace NaN by NULL in every floating column (or the given ones)."""
     float_types = (T.DoubleType, T.FloatType)

@@ -31,42 +31,30 @@ def hash_key(cols: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", *parts))
 
 
-def hash_rank(df: DataFrame, hash_col: str, rank_col: str = "__rank",
-              prefix_len: int = 4) -> DataFrame:
-    """Exact global rank (1..n) of rows ordered by a uniformly distributed hex
-    hash, without a single-partition sort.
-
-    Rows are bucketed by the first ``prefix_len`` hex digits (65 536 buckets by
-    default). Bucket sizes are counted (a bounded table of at most
-    16**prefix_len rows, so its running sum and broadcast are bounded); the
-    rank is the count of all earlier buckets plus the row number inside the
-    bucket. A bucket holds ~n/65536 rows of a uniform hash (1.5 M rows at
-    10^11 rows), so no task sorts more than its bucket.
-    """
-    bucket = F.substring(F.col(hash_col), 1, prefix_len)
-    with_b = df.withColumn("__bucket", bucket)
-    sizes = with_b.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = sizes.withColumn(
-        "__offset",
-        F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = offsets.select("__bucket", F.coalesce(F.col("__offset"), F.lit(0)).alias("__offset"))
-    w = Window.partitionBy("__bucket").orderBy(hash_col)
-    ranked = with_b.join(F.broadcast(offsets), "__bucket")
-    return (ranked.withColumn(rank_col, F.col("__offset") + F.row_number().over(w))
-            .drop("__bucket", "__offset"))
-
-
 def random_split(df: DataFrame, key_cols: list[str], test_size: float = 0.2, seed: int = 42,
                  label_col: str = "split") -> DataFrame:
     """Deterministic split: order rows by md5(key, seed); the first
-    ceil(test_size * n) rows are 'test', the rest 'train'."""
+    ceil(test_size * n) rows are 'test', the rest 'train'. Rows that repeat a key fall on
+    one side together."""
     h = df.withColumn("__h", hash_key(key_cols, seed))
-    n = h.agg(F.count(F.lit(1)).alias("__total"))
-    ranked = _with_params(hash_rank(h, "__h"), n)
-    k = F.ceil(F.lit(float(test_size)) * F.col("__total"))
-    return (ranked.withColumn(label_col, F.when(F.col("__rank") <= k, F.lit("test"))
-                              .otherwise(F.lit("train")))
-            .drop("__h", "__rank", "__total"))
+    # 16^4 buckets at most: their counts say which one holds the cut
+    bucket = F.substring("__h", 1, 4)
+    counts = sorted(tuple(r) for r in h.groupBy(bucket).agg(F.count(F.lit(1))).collect())
+    left = math.ceil(test_size * sum(c for _, c in counts))
+    cut = None
+    for name, count in counts:
+        if left <= count:
+            cut = name
+            break
+        left -= count
+    if cut is None or left == 0:
+        test = F.lit(False) if cut is not None else F.lit(True)
+        return h.withColumn(label_col, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("__h")
+    # inside it, the hash of the last test row; all other rows need no ordering
+    last = (h.filter(bucket == cut).select("__h").orderBy("__h").limit(left)
+            .agg(F.max("__h").alias("m")).first()["m"])
+    return (h.withColumn(label_col, F.when(F.col("__h") <= last, F.lit("test")).otherwise(F.lit("train")))
+            .drop("__h"))
 
 
 @dataclass(frozen=True)
@@ -173,57 +161,41 @@ def padded_moments(rows: DataFrame, cols: list[str], n_pairs: DataFrame | int,
     """Mean / population std of sequence features over pairs x ``length``
     steps where missing steps are zero padding: sums over the real rows,
     divided by the fixed count n_pairs * length. std 0 -> 1."""
-    sums = rows.agg(*[F.sum(c).alias(f"__s_{c}") for c in cols],
-                    *[F.sum(F.col(c) * F.col(c)).alias(f"__q_{c}") for c in cols])
+    sums = rows.agg(*[x for c in cols for x in (
+        F.count(c).alias(f"__n_{c}"), F.avg(c).alias(f"__m_{c}"), F.var_pop(c).alias(f"__v_{c}"))])
     if not isinstance(n_pairs, int):
         n_pairs = n_pairs.count()
-    sums = sums.withColumn("__pairs", F.lit(n_pairs))
-    total = F.col("__pairs").cast("double") * F.lit(float(length))
+    total = F.lit(float(n_pairs) * float(length))
     exprs = []
     for c in cols:
-        mu = F.coalesce(F.col(f"__s_{c}"), F.lit(0.0)) / total
-        var = F.coalesce(F.col(f"__q_{c}"), F.lit(0.0)) / total - mu * mu
+        # the real rows' moments joined with those of the zeros (no difference of squares)
+        n, m, v = F.col(f"__n_{c}"), F.coalesce(f"__m_{c}", F.lit(0.0)), F.coalesce(f"__v_{c}", F.lit(0.0))
+        var = (n * v + m * m * n * (total - n) / total) / total
         sd = F.sqrt(F.greatest(var, F.lit(0.0)))
-        exprs += [mu.alias(f"{c}_mean"), F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias(f"{c}_std")]
+        exprs += [(n * m / total).alias(f"{c}_mean"),
+                  F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias(f"{c}_std")]
     return sums.select(*exprs)
 
 
 # ---------------------------------------------------------------- metrics
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """n, MAE, MSE, RMSE, R2 over rows where both values are known (two
-    aggregate passes over the two projected columns; one result row)."""
-    from pyspark import StorageLevel
-    known = (df.select(F.col(actual).cast("double").alias(actual),
-                       F.col(predicted).cast("double").alias(predicted))
-             .filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
-             .persist(StorageLevel.MEMORY_AND_DISK))      # two passes: mean, then sums
-    e = F.col(actual) - F.col(predicted)
-    ybar = known.agg(F.avg(actual).alias("__ybar")).first()["__ybar"]
-    dev = F.col(actual) - F.lit(ybar).cast("double")
-    row = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
-                    F.avg(e * e).alias("mse"), F.sum(e * e).alias("__sse"),
-                    F.sum(dev * dev).alias("__sst")).first()
-    known.unpersist()
-    from pyspark.sql import types as T
-    rmse = None if row["mse"] is None else row["mse"] ** 0.5
-    r2 = (None if row["__sse"] is None or not row["__sst"]
-          else 1.0 - row["__sse"] / row["__sst"])
-    schema = T.StructType([T.StructField("n", T.LongType()),
-                           *[T.StructField(c, T.DoubleType()) for c in ("mae", "mse", "rmse", "r2")]])
-    return df.sparkSession.createDataFrame([(row["n"], row["mae"], row["mse"], rmse, r2)], schema)
+    """n, MAE, MSE, RMSE, R2 over rows where both values are known (one aggregate)."""
+    y, e = F.col(actual).cast("double"), F.col(actual).cast("double") - F.col(predicted).cast("double")
+    known = df.filter(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+    sums = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"),
+                     F.var_pop(y).alias("__var"))
+    return sums.select("n", "mae", "mse", F.sqrt("mse").alias("rmse"),
+                       F.when(F.col("__var") > 0, 1.0 - F.col("mse") / F.col("__var")).alias("r2"))
 
 
 def lag_baseline(df: DataFrame, region: str = "DEPT_ID", year: str = "ANNEE",
                  target: str = "RENDEMENT", out_col: str = "yield_pred") -> DataFrame:
-    """Rule model: previous year's value of the same region (a window per
-    region, bounded by the number of years)."""
+    """Rule model: the value of the same region one year before; null where that year is
+    absent (a window per region, bounded by the number of years)."""
     w = Window.partitionBy(region).orderBy(year)
-    return df.withColumn(out_col, F.lag(F.col(target)).over(w))
-
-
-def ceil_div(a: int, b: int) -> int:
-    return math.ceil(a / b)
+    consecutive = F.col(year) - F.lag(year).over(w) == 1
+    return df.withColumn(out_col, F.when(consecutive, F.lag(F.col(target)).over(w)))
 
 
 def score_lookup(scored: DataFrame, region: str, year: int, region_col: str = "DEPT_ID",

@@ -4,23 +4,24 @@ Each level fills the nulls left by the previous one with the median of the
 *already partly filled* column over the level's keys (the order matters:
 the second median is taken after the first fill).
 
-Levels whose keys contain the region use windows partitioned by those keys;
-the frame is hash-partitioned by the region once, so all such levels run
-without another shuffle. A window partition holds one (region, ...) group of
-the weather panel, bounded by the calendar. A level with no keys (global
-median) is one aggregate whose single row is applied as literals.
+A keyed level is one aggregate of exact medians per key, joined back on the keys; a level
+with no keys (global median) is one exact quantile per column, applied as a literal. NaN
+counts as missing everywhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestlens.functions.nulls import nan_to_null
+from harvestlens.operators.quantile import global_quantiles
+
 
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One row: number of nulls per column (``<col>`` -> count)."""
-    cols = cols or df.columns
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+    """One row: number of missing values (NULL or NaN) per column (``<col>`` -> count)."""
+    df = nan_to_null(df)
+    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols or df.columns])
 
 
 def columns_with_nulls(df: DataFrame, cols: list[str]) -> list[str]:
@@ -29,44 +30,32 @@ def columns_with_nulls(df: DataFrame, cols: list[str]) -> list[str]:
     return [c for c in cols if prof[c] > 0]
 
 
-def impute_levels(df: DataFrame, cols: list[str], levels: list[list[str]],
-                  partition_by: str | None = None) -> DataFrame:
+def impute_levels(df: DataFrame, cols: list[str], levels: list[list[str]]) -> DataFrame:
     """Fill ``cols`` level by level; ``levels`` like
     ``[["DEPT_ID", "harvest_year"], ["DEPT_ID"]]`` or with a final ``[]``
-    for the global median."""
+    for the global median. Rows with a null key stay unfilled (pandas)."""
     if not cols:
         return df
-    keyed = [lv for lv in levels if lv]
-    if partition_by is None and keyed:
-        common = set(keyed[0]).intersection(*map(set, keyed))
-        partition_by = sorted(common)[0] if common else None
-    out = df.repartition(partition_by) if partition_by else df
+    order = df.columns
+    out = nan_to_null(df, cols)
     for lv in levels:
         if lv:
-            # pandas leaves rows with a null group key unfilled
-            keys_ok = F.lit(True)
-            for k in lv:
-                keys_ok = keys_ok & F.col(k).isNotNull()
-            w = Window.partitionBy(*lv)
-            out = out.withColumns({c: F.coalesce(F.col(c), F.when(keys_ok, F.median(c).over(w)))
-                                   for c in cols})
+            names = {c: f"__med_{i}" for i, c in enumerate(cols)}
+            keyed = out.dropna(subset=lv)
+            medians = keyed.groupBy(*lv).agg(*[F.median(c).alias(m) for c, m in names.items()])
+            out = out.join(medians, lv, "left").withColumns(
+                {c: F.coalesce(F.col(c), F.col(m)) for c, m in names.items()}).drop(*names.values())
         else:
-            # global level: one aggregate row (one value per column), applied
-            # as literals
-            from harvestlens.operators.quantile import global_quantiles
-            # the global median and the fill both read the windowed levels:
-            # write them once to the shared checkpoint folder
-            out = out.checkpoint(eager=True)
             med = global_quantiles(out, cols, [0.5])
             out = out.withColumns({c: F.coalesce(F.col(c), F.lit(med[(c, 0.5)]).cast("double"))
                                    for c in cols})
-    return out
+    return out.select(*order)
 
 
 def impute_two_level(df: DataFrame, cols: list[str], region: str = "DEPT_ID",
                      year: str = "harvest_year") -> DataFrame:
     """Daily path: median per (region, harvest year), then per region."""
-    return impute_levels(df, cols, [[region, year], [region]], partition_by=region)
+    return impute_levels(df, cols, [[region, year], [region]])
 
 
 def impute_three_level(df: DataFrame, cols: list[str] | None, region: str = "DEPT_ID",
@@ -78,4 +67,4 @@ def impute_three_level(df: DataFrame, cols: list[str] | None, region: str = "DEP
         from harvestlens.functions.columns import numeric_columns
         cols = numeric_columns(df, exclude=tuple(exclude) + (region, hour))
     todo = columns_with_nulls(df, cols)
-    return impute_levels(df, todo, [[region, hour], [region], []], partition_by=region)
+    return impute_levels(df, todo, [[region, hour], [region], []])

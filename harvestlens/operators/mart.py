@@ -1,17 +1,18 @@
 """One-pass crop-stage feature mart.
 
-Plan (one shuffle for the whole mart):
+Plan (one shuffle of the panel for the whole mart):
 
 1. keep the rows of the stages the chosen features need, and only the
    measure columns they read (pruned down to the scan);
-2. hash-partition by region once; every later step groups by keys that
-   contain the region, so Spark adds no further exchange;
+2. hash-partition by (region, stage) once; every window groups by keys that
+   contain both, so Spark adds no further exchange for them;
 3. one sort on (region, stage, harvest year, time) serves every window:
    rolling sums, run positions and per-stage quantile thresholds;
 4. one ``groupBy(region, harvest_year)`` of stage-conditional aggregates
-   replaces the reference's 19 filter/aggregate/outer-merge functions;
+   replaces the reference's 19 filter/aggregate/outer-merge functions; what it
+   exchanges is one partial row per (region, stage, year);
 5. the per-region quantile of stage means (``mean_exceed``) is a window over
-   the aggregated rows of each region (same partitioning, no shuffle).
+   the aggregated rows of each region (a few rows per region).
 
 Windows hold one region's stage rows at a time. The panel has one row per
 (region, time step), so a window partition is bounded by the calendar
@@ -203,7 +204,7 @@ def build_mart(panel: DataFrame, features: list[Feature], *, time_col: str = "da
     df = (panel.filter(F.col(stage).isin(stages))
           .select(region, year, stage, time_col, *measures)
           .filter(F.col(region).isNotNull())
-          .repartition(region))
+          .repartition(region, stage))
     for phase in (plan.phase1, plan.phase2, plan.phase3):
         if phase:
             df = df.withColumns(phase)

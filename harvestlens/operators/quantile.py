@@ -1,117 +1,72 @@
-"""Exact global quantiles without an unbounded single-task merge.
+"""Exact global quantiles, in one way at every size and without a one-task merge.
 
-``percentile`` is exact, but a global (ungrouped) percentile merges one
-value -> count map per partition in a single task, so its memory grows with
-the number of distinct values. ``global_quantiles`` keeps that path only when
-the distinct count is known to be small (``approx_count_distinct`` below
-``max_distinct``); otherwise it selects the needed order statistics exactly:
+1. Every column's values are counted (``groupBy(column, value)``: repeated values combine
+   in the map tasks and collapse to one row).
+2. The distinct values are range-partitioned by (column, value); each partition reports how
+   many rows of each column it stands for.
+3. Those sums say which partition holds each needed rank; only these partitions are
+   ordered and summed up, each on its own, and give the one value asked for.
 
-1. n = number of non-null values; the quantile q needs the values of rank
-   floor((n-1)q) and ceil((n-1)q) (0-based), interpolated linearly as
-   ``percentile`` does;
-2. each order statistic is found by narrowing an open value interval:
-   approximate quantiles of the rows inside it give ``probes`` cut points,
-   one pass counts the rows below and at-or-below each cut, and either the
-   rank falls on a cut value (done) or the interval shrinks to the slice
-   between two cuts (about 1/probes of the rows per pass);
-3. once the slice has few distinct values, its (value, count) pairs are
-   collected (at most ``max_collect`` rows) and the rank is read off.
-
-Duplicated values collapse in the ``groupBy(value)`` of step 3, so a value
-that holds a third of all rows costs one row.
+The quantile q of n values interpolates linearly between ranks floor((n-1)q) and
+ceil((n-1)q), as ``percentile`` does.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _kth(vals: DataFrame, k: int, max_collect: int, probes: int):
-    """k-th smallest (0-based) of column ``v``."""
-    lo = hi = None            # current open interval (lo, hi)
-    before = 0                # rows at or below lo
-    while True:
-        cur = vals
-        if lo is not None:
-            cur = cur.filter(F.col("v") > F.lit(lo))
-        if hi is not None:
-            cur = cur.filter(F.col("v") < F.lit(hi))
-        counts = cur.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-        # bounded top-k (at most max_collect + 1 rows reach the driver)
-        head = counts.orderBy("v").limit(max_collect + 1).collect()
-        if len(head) <= max_collect:
-            seen = before
-            for row in head:
-                seen += row["c"]
-                if seen > k:
-                    return row["v"]
-            raise RuntimeError("rank outside the interval")  # pragma: no cover
-        fr = [(i + 1) / (probes + 1) for i in range(probes)]
-        cuts = cur.agg(F.percentile_approx("v", fr, 10 * probes).alias("p")).first()["p"]
-        cuts = sorted(set(cuts))
-        cnt = cur.agg(*[F.count_if(F.col("v") < F.lit(c)).alias(f"b{i}") for i, c in enumerate(cuts)],
-                      *[F.count_if(F.col("v") <= F.lit(c)).alias(f"u{i}")
-                        for i, c in enumerate(cuts)]).first()
-        new_lo, new_hi, new_before = lo, hi, before
-        for i, c in enumerate(cuts):
-            if before + cnt[f"b{i}"] > k:          # strictly below this cut
-                new_hi = c
-                break
-            if before + cnt[f"u{i}"] > k:          # inside the block of values equal to c
-                return c
-            new_lo, new_before = c, before + cnt[f"u{i}"]
-        lo, hi, before = new_lo, new_hi, new_before
-
-
-def global_quantiles(df: DataFrame, cols: list[str], qs: list[float],
-                     max_distinct: int = 1_000_000, max_collect: int = 100_000,
-                     probes: int = 256) -> dict:
-    """{(col, q): exact quantile} with linear interpolation (NULL and NaN
-    ignored; None for an empty column). The value columns are persisted
-    (memory and disk) for the few passes and released afterwards."""
-    from pyspark import StorageLevel
-    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _global_quantiles(df, cols, qs, max_distinct, max_collect, probes)
-    finally:
-        df.unpersist()
+def global_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict:
+    """{(col, q): exact quantile}; NULL and NaN are ignored, an empty column gives None."""
+    pairs = [F.struct(F.lit(i).alias("k"), F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("v"))
+             for i, c in enumerate(cols)]
+    counts = (df.select(F.inline(F.array(*pairs))).filter("v is not null")
+              .groupBy("k", "v").agg(F.count(F.lit(1)).alias("c")))
+    # written once: the partition numbers must stay as they are
+    ranged = (counts.repartitionByRange("k", "v").withColumn("p", F.spark_partition_id())
+              .checkpoint(eager=True))
+    parts: dict[int, list[tuple[int, int]]] = {}
+    for r in ranged.groupBy("k", "p").agg(F.sum("c").alias("c")).collect():  # a row per partition and column
+        parts.setdefault(r["k"], []).append((r["p"], r["c"]))
 
+    wanted = {}  # (column, rank) -> (partition, rank inside it)
+    for k, _ in enumerate(cols):
+        held = sorted(parts.get(k, []))
+        n = sum(c for _, c in held)
+        for q in qs if n else []:
+            for rank in {math.floor((n - 1) * q), math.ceil((n - 1) * q)}:
+                before = 0
+                for p, c in held:
+                    if rank < before + c:
+                        wanted[k, rank] = (p, rank - before)
+                        break
+                    before += c
+    found = {}
+    if wanted:
+        up_to = F.sum("c").over(Window.partitionBy("p", "k").orderBy("v"))
+        summed = (ranged.filter(F.col("p").isin(sorted({p for p, _ in wanted.values()})))
+                  .withColumn("s", up_to))
+        hits = [(F.col("k") == k) & (F.col("p") == p) & (F.col("s") > at) & (F.col("s") - F.col("c") <= at)
+                for (k, _), (p, at) in wanted.items()]
+        by_place = {}
+        for r in summed.filter(reduce(lambda a, b: a | b, hits)).select("k", "p", "v", "s", "c").collect():
+            by_place.setdefault((r["k"], r["p"]), []).append(r)
+        for (k, rank), (p, at) in wanted.items():
+            found[k, rank] = next(r["v"] for r in by_place[k, p] if r["s"] - r["c"] <= at < r["s"])
 
-def _global_quantiles(df: DataFrame, cols: list[str], qs: list[float], max_distinct: int,
-                      max_collect: int, probes: int) -> dict:
-    stats = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"n_{i}")
-                     for i, c in enumerate(cols)],
-                   *[F.approx_count_distinct(c, 0.05).alias(f"d_{i}")
-                     for i, c in enumerate(cols)]).first()
     out: dict = {}
-    small = [c for i, c in enumerate(cols) if stats[f"d_{i}"] <= max_distinct // 2]
-    if small:
-        row = df.agg(*[F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(q))
-                       .alias(f"{j}_{k}") for j, c in enumerate(small)
-                       for k, q in enumerate(qs)]).first()
-        for j, c in enumerate(small):
-            for k, q in enumerate(qs):
-                out[(c, q)] = row[f"{j}_{k}"]
-    for i, c in enumerate(cols):
-        if c in small:
-            continue
-        n = stats[f"n_{i}"]
-        vals = df.select(F.nanvl(F.col(c).cast("double"), F.lit(None)).alias("v")).filter(
-            F.col("v").isNotNull())
-        cache: dict[int, float] = {}
+    for k, c in enumerate(cols):
+        n = sum(x for _, x in parts.get(k, []))
         for q in qs:
-            if n == 0:
-                out[(c, q)] = None
+            if not n:
+                out[c, q] = None
                 continue
-            pos = (n - 1) * q
-            a, b = math.floor(pos), math.ceil(pos)
-            for r in (a, b):
-                if r not in cache:
-                    cache[r] = _kth(vals, r, max_collect, probes)
-            va, vb = cache[a], cache[b]
-            out[(c, q)] = va if a == b else (b - pos) * va + (pos - a) * vb
+            at = (n - 1) * q
+            a, b = math.floor(at), math.ceil(at)
+            va, vb = found[k, a], found[k, b]
+            out[c, q] = va if a == b else (b - at) * va + (at - a) * vb
     return out

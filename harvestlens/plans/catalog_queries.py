@@ -87,7 +87,10 @@ def _static(spark, sf):
 
 
 def _mart_daily(spark, sf):
-    return build_mart(_daily(spark, sf), tb.TESTBED_DAILY, time_col="day", roles=tb.DAILY_ROLES)
+    """Indicators on the imputed panel (two-level medians), as the training marts use them."""
+    panel = impute_two_level(_daily(spark, sf), tb.MEASURES)
+    panel = panel.withColumns({c: F.round(F.col(c), 6) for c in tb.MEASURES})
+    return build_mart(panel, tb.TESTBED_DAILY, time_col="day", roles=tb.DAILY_ROLES)
 
 
 def _training(spark, sf):
@@ -104,14 +107,24 @@ STATIC_DOUBLES = ["RENDEMENT", "ndvi_poly_mean"] + SOIL_COLS
 
 
 def _mart_sql() -> str:
+    """The mart on the raw panel."""
     return FeatureSQL(daily_panel_sql(), tb.DAILY_ROLES, "day").mart(tb.TESTBED_DAILY)
 
 
+def _imputed_mart_sql() -> str:
+    panel = daily_panel_sql()
+    for keys in ("DEPT_ID, harvest_year", "DEPT_ID"):
+        fill = ", ".join(f"coalesce({c}, median({c}) OVER (PARTITION BY {keys})) AS {c}" for c in tb.MEASURES)
+        panel = f"SELECT * REPLACE ({fill}) FROM ({panel}) p"
+    panel = "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in tb.MEASURES) + f") FROM ({panel}) p"
+    return FeatureSQL(panel, tb.DAILY_ROLES, "day").mart(tb.TESTBED_DAILY)
+
+
 def _training_sql() -> str:
     feats = ", ".join(f"m.{n}" for n in FEATURE_NAMES)
     stat = ", ".join(f"s.{_q(c)}" if c != "ANNEE" else "s.ANNEE AS harvest_year"
                      for c in STATIC_COLS)
-    return (f"SELECT {stat}, {feats} FROM ({cs.static_sql()}) s JOIN ({_mart_sql()}) m "
+    return (f"SELECT {stat}, {feats} FROM ({cs.static_sql()}) s JOIN ({_imputed_mart_sql()}) m "
             f"ON s.DEPT_ID = m.DEPT_ID AND s.ANNEE = m.harvest_year")
 
 
@@ -147,16 +160,19 @@ def _q_scan_typed(spark, sf):
 
 
 _MALFORMED = ("CASE WHEN p_partkey % 17 = 0 THEN 'n/a' WHEN p_partkey % 19 = 0 THEN 'altitude_m' "
+              "WHEN p_partkey % 23 = 0 THEN 'NaN' WHEN p_partkey % 29 = 0 THEN '12d' "
               "ELSE CAST(p_size AS VARCHAR) END")
 
 
 @_reg("filter_malformed", f"SELECT p_partkey, CAST(altitude_m AS DOUBLE) AS altitude_m FROM "
                           f"(SELECT p_partkey, {_MALFORMED} AS altitude_m FROM part) p "
-                          f"WHERE TRY_CAST(altitude_m AS DOUBLE) IS NOT NULL")
+                          f"WHERE regexp_full_match(altitude_m, '[0-9]+([.][0-9]+)?')")
 def _q_filter_malformed(spark, sf):
     p = tb.read(spark, sf, "part")
     alt = (F.when(F.col("p_partkey") % 17 == 0, F.lit("n/a"))
            .when(F.col("p_partkey") % 19 == 0, F.lit("altitude_m"))
+           .when(F.col("p_partkey") % 23 == 0, F.lit("NaN"))
+           .when(F.col("p_partkey") % 29 == 0, F.lit("12d"))
            .otherwise(F.col("p_size").cast("string")))
     df = p.select("p_partkey", alt.alias("altitude_m"))
     return filter_numeric(df, "altitude_m").withColumn("altitude_m",
@@ -218,7 +234,7 @@ def _q_id_from_path(spark, sf):
 @_reg("promote_header", "SELECT CAST(n_nationkey AS VARCHAR) AS CODE, n_name AS NOM, "
                         "CAST(n_regionkey AS VARCHAR) AS REGION FROM nation")
 def _q_promote_header(spark, sf):
-    reg = tb.read(spark, sf, "region").filter(F.col("r_regionkey") < 4).orderBy("r_regionkey")
+    reg = tb.read(spark, sf, "region").orderBy("r_regionkey")
     junk = reg.select(F.col("r_name").alias("_c0"), F.lit("").alias("_c1"), F.lit("").alias("_c2"))
     header = spark.range(1).select(F.lit("CODE").alias("_c0"), F.lit("NOM").alias("_c1"),
                                    F.lit("REGION").alias("_c2"))
@@ -226,7 +242,7 @@ def _q_promote_header(spark, sf):
                                                F.col("n_name").alias("_c1"),
                                                F.col("n_regionkey").cast("string").alias("_c2"))
     sheet = junk.coalesce(1).unionByName(header).unionByName(body)
-    return promote_header(sheet, header_index=4)
+    return promote_header(sheet, header_index=reg.count())
 
 
 @_reg("union_sources", "SELECT DEPT_ID, day, t, r, NULL::DOUBLE AS g FROM ("
@@ -330,10 +346,11 @@ def _q_cyclic_encode(spark, sf):
     return out.withColumns({c: F.round(F.col(c), 6) + F.lit(0.0) for c in _CYC})
 
 
-@_reg("pad_code", "SELECT n_nationkey, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS DEPT_ID "
-                  "FROM nation")
+@_reg("pad_code", "SELECT c_custkey, CASE WHEN c_custkey < 10 THEN '0' || CAST(c_custkey AS VARCHAR) "
+                  "ELSE CAST(c_custkey AS VARCHAR) END AS DEPT_ID "
+                  "FROM customer")
 def _q_pad_code(spark, sf):
-    return tb.read(spark, sf, "nation").select("n_nationkey", pad_code("n_nationkey").alias("DEPT_ID"))
+    return tb.read(spark, sf, "customer").select("c_custkey", pad_code("c_custkey").alias("DEPT_ID"))
 
 
 @_reg("filter_contains", "SELECT p_partkey, lower(p_type) AS p_type FROM part "
@@ -419,7 +436,7 @@ SQL["training_mart"] = SQL["join_harvest"]
 
 @_reg("join_renamed_key", _r(
     f"SELECT s.*, m.* EXCLUDE (DEPT_ID, harvest_year) FROM ({cs.static_sql()}) s JOIN "
-    f"({_mart_sql()}) m ON s.DEPT_ID = m.DEPT_ID AND s.ANNEE = m.harvest_year",
+    f"({_imputed_mart_sql()}) m ON s.DEPT_ID = m.DEPT_ID AND s.ANNEE = m.harvest_year",
     TRAINING_DOUBLES, STATIC_COLS + FEATURE_NAMES))
 def _q_join_renamed_key(spark, sf):
     return round_doubles(join_renamed_key(_static(spark, sf), _mart_daily(spark, sf),
@@ -613,8 +630,9 @@ def _q_preview(spark, sf):
 
 
 def _lag_sql():
-    return (f"SELECT DEPT_ID, ANNEE, RENDEMENT, lag(RENDEMENT) OVER (PARTITION BY DEPT_ID ORDER BY ANNEE) "
-            f"AS yield_pred FROM ({cs.clean_target_sql()}) t")
+    t = cs.clean_target_sql()
+    return (f"SELECT a.DEPT_ID, a.ANNEE, a.RENDEMENT, b.RENDEMENT AS yield_pred FROM ({t}) a "
+            f"LEFT JOIN ({t}) b ON a.DEPT_ID = b.DEPT_ID AND b.ANNEE = a.ANNEE - 1")
 
 
 @_reg("baseline_lag1", _r(_lag_sql(), ["RENDEMENT", "yield_pred"],
@@ -633,7 +651,7 @@ def _q_score_lookup(spark, sf):
 
 # ------------------------------------------------------------------ 2.8 reshape
 
-_SEQ_LEN = 20
+_SEQ_LEN = 31  # May 16 .. June 15: the whole stage
 
 
 def _seq_sql():
@@ -692,10 +710,6 @@ SQL["weather_daily_clean"] = _wdc_sql()
 
 # ------------------------------------------------------------------ 2.10 soil features
 
-def _training_fe_input(spark, sf):
-    return _training(spark, sf)
-
-
 _LOW = so.LOW_IMPORTANCE_FEATURES
 
 
@@ -1001,12 +1015,12 @@ def _q_sequence_dataset(spark, sf):
     shift = 2023 - 1996
     static = _static(spark, sf).select(
         "DEPT_ID", (F.col("ANNEE") + F.lit(shift)).alias("harvest_year"),
-        "ndvi_poly_mean", F.col("`silt_0-5cm_mean`").alias("silt_surface"))
+        "RENDEMENT", "ndvi_poly_mean", F.col("`silt_0-5cm_mean`").alias("silt_surface"))
     data, _ = sequence_dataset(_hourly(spark, sf), static, ["ndvi_poly_mean", "silt_surface"],
-                               length=48, excluded=["03", "04"], min_year_exclusive=2022,
+                               target="RENDEMENT", excluded=["03", "04"], min_year_exclusive=2022,
                                max_year=2025, pairs_dropped=[("05", 2024)], train_max=2023,
                                val_years=(2024,), test_min=2025)
-    return data.select("DEPT_ID", "harvest_year", "split", "n_steps", F.size("seq").alias("steps"),
+    return data.select("DEPT_ID", "harvest_year", "split", "RENDEMENT", "n_steps", F.size("seq").alias("steps"),
                        "ndvi_poly_mean", "silt_surface", "seq")
 
 

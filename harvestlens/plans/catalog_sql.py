@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from harvestlens.operators.soil import DEPTHS, SOIL_VARS
-from harvestlens.plans.sql_oracle import SEASON_SQL, daily_panel_sql, harvest_year_sql
+from harvestlens.plans.sql_oracle import SEASON_SQL, harvest_year_sql
 from harvestlens.plans.testbed_tables import YEARS
 
 CROP_LIKE = "%blé tendre d''hiver%"
@@ -90,7 +90,7 @@ def soil_sql() -> str:
     cols = []
     for var in SOIL_VARS:
         for k, depth in enumerate(DEPTHS, start=1):
-            cols.append(f'round(sum(CASE WHEN l.l_linenumber = {k} THEN {SOIL_EXPR_SQL[var]} END), 4) '
+            cols.append(f'round(sum(CASE WHEN (l.l_linenumber - 1) % 6 + 1 = {k} THEN {SOIL_EXPR_SQL[var]} END), 4) '
                         f'AS "{var}_{depth}_mean"')
     return f"""SELECT lpad(CAST(s.s_nationkey AS VARCHAR), 2, '0') AS DEPT_ID, n.n_name AS dept_nom,
   {", ".join(cols)}
@@ -155,10 +155,6 @@ def station_daily_sql() -> str:
 FROM ({station_hourly_sql()}) h GROUP BY 1, 2"""
 
 
-def daily_labeled_sql() -> str:
-    return daily_panel_sql()
-
-
 def season_case(t: str) -> str:
     return SEASON_SQL.format(t=t)
 

@@ -13,6 +13,7 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,8 +61,10 @@ class RunLog:
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(path)
-        except Exception:  # noqa: BLE001 - empty log
-            return self.spark.createDataFrame([], schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # nothing recorded yet
 
     def runs(self, model_id: str | None = None) -> DataFrame:
         df = self._read(self.runs_path, RUN_SCHEMA)

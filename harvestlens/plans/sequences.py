@@ -36,10 +36,13 @@ def sequence_dataset(panel: DataFrame, static: DataFrame, static_features: list[
                      length: int = 8760, excluded: list[str] = (), min_year_exclusive: int = 2010,
                      max_year: int = 2024, pairs_dropped: list[tuple[str, int]] = (),
                      train_max: int = 2020, val_years: tuple[int, ...] = (2021, 2022),
-                     test_min: int = 2023, time_col: str = "datetime"):
+                     test_min: int = 2023, time_col: str = "datetime",
+                     target: str | None = None):
     """Returns (dataset, feature names). ``panel``: DEPT_ID, ``time_col``,
     harvest_year, saison and numeric measures; ``static``: one row per
-    (DEPT_ID, harvest_year) with the static features."""
+    (DEPT_ID, harvest_year) with the static features and the ``target``, which is carried
+    along as it is. Pairs at or below ``min_year_exclusive`` are dropped; ``max_year``
+    bounds the weather only."""
     df = exclude_values(panel, "DEPT_ID", list(excluded))
     df = exclude_pairs(df, min_year_exclusive=min_year_exclusive, max_year=max_year,
                        pairs=list(pairs_dropped))
@@ -53,7 +56,9 @@ def sequence_dataset(panel: DataFrame, static: DataFrame, static_features: list[
     df = cyclic_encode(df, time_col).checkpoint(eager=True)
     feats = [c for c in df.columns if c not in NOT_FEATURES]
 
-    pairs = exclude_values(static, "DEPT_ID", list(excluded)).select(*KEYS, *static_features)
+    pairs = (exclude_values(static, "DEPT_ID", list(excluded))
+             .filter(F.col("harvest_year") > min_year_exclusive)
+             .select(*KEYS, *([target] if target else []), *static_features))
     seqs = sequences(df, KEYS, time_col, feats, length)
     data = attach_sequences(pairs, seqs, KEYS, length, len(feats))
     data = data.withColumn("split", temporal_labels("harvest_year", train_max, val_years,

@@ -22,6 +22,7 @@ from harvestlens.operators.features import (DAILY_FEATURES, HOURLY_FEATURES, Qua
 from harvestlens.operators.mart import label_stages
 
 DAILY_ROLES = {"ta": "t", "tx": "t", "rr": "r", "gust": "g", "hum": "hum", "rad": "rad"}
+MEASURES = ["t", "r", "g", "rad", "hum"]
 HOURLY_ROLES = {"ta": "t", "tx": "t", "rr": "r", "gust": "g", "hum": "t", "rad": "g"}
 
 # Parameter changes that make every indicator non-trivial on the driver data

@@ -5,8 +5,8 @@
 | raw station readings | lineitem x supplier (station = supplier)            |
 | wide production      | lineitem x supplier x nation, one row per nation x  |
 |                      | return flag, SURF_/PROD_/REND_<year> columns        |
-| soil layers          | lineitem x supplier per nation, line number 1..6 =  |
-|                      | depth layer, 13 variables                           |
+| soil layers          | lineitem x supplier per nation, 13 variables; line  |
+|                      | numbers go round the six depth layers               |
 | NDVI monthly         | orders x customer x nation per year and month       |
 
 Region labels follow the "0NN - name" layout; nations 20/21 carry the
@@ -79,8 +79,11 @@ def production_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "l_returnflag", "l_shipdate")
     su = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    # a year outside the sheet's columns must not vanish
+    known = F.when(F.year("l_shipdate").isin(YEARS), F.year("l_shipdate")).otherwise(
+        F.raise_error(F.concat(F.lit("no column for year "), F.year("l_shipdate").cast("string"))).cast("int"))
     per_year = (li.join(su, li.l_suppkey == su.s_suppkey)
-                .groupBy("s_nationkey", "l_returnflag", F.year("l_shipdate").alias("year"))
+                .groupBy("s_nationkey", "l_returnflag", known.alias("year"))
                 .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"),
                      F.sum(F.col("l_discount") * F.lit(10.0)).alias("d")))
     aggs = []
@@ -120,15 +123,16 @@ SOIL_EXPR = {  # built lazily: Columns need an active session
 
 def soil_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per nation: DEPT_ID, dept_nom and 13 x 6 ``{var}_{depth}_mean``
-    columns (line number k = k-th depth layer). Sums per (nation, line number)
+    columns (line number k feeds layer (k - 1) mod 6 + 1). Sums per (nation, layer)
     first; the pivot to depth columns runs on that small result."""
-    li = read(spark, sf_dir, "lineitem").filter(F.col("l_linenumber").between(1, len(DEPTHS)))
+    li = read(spark, sf_dir, "lineitem").withColumn(
+        "layer", (F.col("l_linenumber") - 1) % len(DEPTHS) + 1)
     su = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     na = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     layers = (li.join(su, li.l_suppkey == su.s_suppkey)
-              .groupBy("s_nationkey", "l_linenumber")
+              .groupBy("s_nationkey", "layer")
               .agg(*[F.sum(SOIL_EXPR[v]()).alias(v) for v in SOIL_VARS]))
-    aggs = [F.round(F.max(F.when(F.col("l_linenumber") == k, F.col(var))), 4)
+    aggs = [F.round(F.max(F.when(F.col("layer") == k, F.col(var))), 4)
             .alias(f"{var}_{depth}_mean")
             for var in SOIL_VARS for k, depth in enumerate(DEPTHS, start=1)]
     wide = layers.groupBy("s_nationkey").agg(*aggs)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestlens.functions.calendar import pad_code
 from harvestlens.functions.columns import rename_columns
+from harvestlens.functions.nulls import nan_to_null
 from harvestlens.operators.cleaning import clean_target, exclude_pairs, exclude_values, label_weather
 from harvestlens.operators.impute import impute_two_level
 from harvestlens.sources.stations import DAILY_MEAN_COLS, DAILY_SUM_COLS
@@ -69,7 +70,8 @@ def annual_weather(daily: DataFrame, mean_cols: list[str] = DAILY_MEAN_COLS,
     missing = [c for c in list(mean_cols) + list(sum_cols) if c not in daily.columns]
     if missing:
         raise KeyError(f"columns not found: {missing}")
-    df = daily.withColumns({"DEPT_ID": pad_code(region), "ANNEE": F.year(day)})
+    df = nan_to_null(daily).filter(F.col(region).isNotNull() & F.col(day).isNotNull())
+    df = df.withColumns({"DEPT_ID": pad_code(region), "ANNEE": F.year(day)})
     aggs = [F.avg(c).alias(c) for c in mean_cols]
     aggs += [F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in sum_cols]
     return df.groupBy("DEPT_ID", "ANNEE").agg(*aggs)
@@ -91,14 +93,14 @@ def weather_daily_clean(daily: DataFrame, region: str = "dept_id", day: str = "d
 
 
 def _materialize(df: DataFrame, materialize: bool) -> DataFrame:
-    """Training tables are read many times (splits, scalers, folds, fits):
-    write them once to the shared checkpoint folder, which also cuts the
-    lineage (a lost executor re-reads the table instead of the pipeline)."""
+    """Lazy by default, so that callers' filters and column lists reach the scans. On
+    request (iterative fits) the table is written once to the shared checkpoint folder,
+    which also cuts the lineage."""
     return df.checkpoint(eager=True) if materialize else df
 
 
 def training_mart(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFrame,
-                  weather_mart: DataFrame, materialize: bool = True) -> DataFrame:
+                  weather_mart: DataFrame, materialize: bool = False) -> DataFrame:
     """target (cleaned) x soil x yearly NDVI x weather features."""
     target = clean_target(target_long)
     m = join_static(target, soil)
@@ -108,7 +110,7 @@ def training_mart(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFra
 
 
 def training_mart_annual(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFrame,
-                         weather_annual: DataFrame, materialize: bool = True) -> DataFrame:
+                         weather_annual: DataFrame, materialize: bool = False) -> DataFrame:
     """Calendar-year variant: weather aggregated per (DEPT_ID, ANNEE)."""
     target = clean_target(target_long)
     m = join_static(target, soil)
@@ -131,7 +133,7 @@ def agro_mart_hourly(panel: DataFrame, features, excluded: list[str], min_year_e
 def training_static_hourly(target_long: DataFrame, soil: DataFrame, ndvi_monthly: DataFrame,
                            agro_mart: DataFrame, excluded: list[str], min_year_exclusive: int,
                            max_year: int, pairs: list[tuple[str, int]],
-                           materialize: bool = True) -> DataFrame:
+                           materialize: bool = False) -> DataFrame:
     """Hourly path: static sources x hourly-feature mart with the year range,
     exclusions and the single dropped pair, joined on (DEPT_ID, ANNEE) =
     (DEPT_ID, harvest_year). The mart is computed *before* the pair is

@@ -17,6 +17,9 @@ from harvestlens.functions.columns import cast_columns
 from harvestlens.functions.nulls import nan_to_null
 
 
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 @dataclass
 class Dataset:
     path: str                               # may contain {region}
@@ -69,15 +72,19 @@ def typed_scan(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
 
 
 def filter_numeric(df: DataFrame, col: str) -> DataFrame:
-    """Keep rows whose ``col`` parses as a number (drops repeated header
-    lines and other text in a numeric column)."""
-    return df.filter(F.col(col).cast("string").try_cast("double").isNotNull())
+    """Keep rows whose ``col`` is a finite number in digits (drops repeated header lines,
+    'NaN', and suffixed literals such as '12d' that a cast would accept)."""
+    text = F.trim(F.col(col).cast("string"))
+    return df.filter(text.rlike(NUMBER))
 
 
 def id_from_path(pattern: str = r"dept_(\w+)\.csv", group: int = 1,
                  path_col: str = "_metadata.file_path"):
-    """Column with the id captured from each row's source file name."""
-    return F.regexp_extract(F.col(path_col), pattern, group)
+    """Column with the id captured from each row's source file name; a name without one
+    raises."""
+    found = F.regexp_extract(F.col(path_col), pattern, group)
+    return F.when(found != "", found).otherwise(
+        F.raise_error(F.concat(F.lit("no id in file name "), F.col(path_col))).cast("string"))
 
 
 def promote_header(df: DataFrame, header_index: int, order_col: str = "__row_id") -> DataFrame:
@@ -85,10 +92,11 @@ def promote_header(df: DataFrame, header_index: int, order_col: str = "__row_id"
     holds the column names; earlier rows are dropped, later rows are data.
 
     File order comes from ``monotonically_increasing_id`` (increasing with
-    partition and position). Only the first ``header_index + 1`` rows are
+    partition and position), written once so that the header's id and the rows'
+    ids are the same numbers. Only the first ``header_index + 1`` rows are
     brought to the driver (an ordered ``limit``), never the table.
     """
-    with_id = df.withColumn(order_col, F.monotonically_increasing_id())
+    with_id = df.withColumn(order_col, F.monotonically_increasing_id()).checkpoint(eager=True)
     head = with_id.orderBy(order_col).limit(header_index + 1).collect()
     if len(head) <= header_index:
         raise ValueError("sheet has fewer rows than the header position")

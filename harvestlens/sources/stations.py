@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from harvestlens.functions.calendar import parse_hour_stamp
 from harvestlens.functions.columns import keep_columns, rename_columns
-from harvestlens.functions.nulls import sum_or_zero
+from harvestlens.functions.nulls import nan_to_null, sum_or_zero
 
 # The 35 raw station columns kept by the reference (of 206),
 # in its order.
@@ -101,6 +101,7 @@ def station_to_region_hourly(raw: DataFrame, region: str | object, keep: list[st
     df = df.withColumn("DATE", parse_hour_stamp(stamp_col)).drop(stamp_col)
     df = rename_columns(df, rename)
     measures = [c for c in df.columns if c not in STATION_ID_COLS and c != "__region"]
+    df = nan_to_null(df).filter(F.col("__region").isNotNull() & F.col("datetime").isNotNull())
     return (df.groupBy(F.col("__region").alias("dept_id"), "datetime")
             .agg(*[F.avg(c).alias(c) for c in measures]))
 
@@ -112,6 +113,8 @@ def daily_from_hourly(hourly: DataFrame, mean_cols: list[str] | None = DAILY_MEA
     With no rules, every numeric column is averaged. A day whose values of a
     summed column are all missing sums to 0 (pandas semantics)."""
     day = F.to_date(F.col(time_col)).alias("day")
+    # pandas groups skip null keys and NaN values
+    hourly = nan_to_null(hourly).filter(F.col(region).isNotNull() & F.col(time_col).isNotNull())
     if mean_cols is None and sum_cols is None:
         from harvestlens.functions.columns import numeric_columns
         num = numeric_columns(hourly, exclude=(region,))
@@ -136,16 +139,18 @@ def daily_from_consolidated(raw: DataFrame, region: str = "dept_id",
 
 
 def consolidate(df: DataFrame, out_path: str, region_col: str = "dept_id",
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", files_per_region: int = 8) -> None:
     """Write the region hourly table once, partitioned by region (one
     directory scan replaces the per-file append loop). The region stays a data
     column; the directory level is a copy named ``dept`` because partition
     discovery would turn codes like "01" into the integer 1."""
-    (df.withColumn("dept", F.col(region_col)).write.mode(mode).partitionBy("dept")
-     .parquet(out_path))
+    # a few files per region: rows of a region meet in up to ``files_per_region`` tasks,
+    # so a region with most of the rows is not one task's work
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_region))
+    (df.withColumn("dept", F.col(region_col)).repartition(F.col("dept"), salt)
+     .write.mode(mode).partitionBy("dept").parquet(out_path))
 
 
 def read_consolidated(spark, path: str) -> DataFrame:
-    """Read a table written by ``consolidate`` (or the streaming ingestion)."""
-    df = spark.read.parquet(path)
-    return df.drop(*[c for c in ("dept", "batch") if c in df.columns])
+    """Read a table written by ``consolidate``."""
+    return spark.read.parquet(path).drop("dept")

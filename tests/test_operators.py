@@ -99,17 +99,15 @@ def test_sequences_pad_and_truncate(spark):
     assert att["C"]["seq"] == [[0.0]] * 3 and att["C"]["n_steps"] == 0
 
 
-def test_hash_rank_is_exact(spark):
-    df = spark.range(5000).withColumn("h", F.md5(F.col("id").cast("string")))
-    ranked = ds.hash_rank(df, "h", prefix_len=2).toPandas()
-    exp = ranked.sort_values("h").reset_index(drop=True)
-    assert list(exp["__rank"]) == list(range(1, 5001))
-
-
 def test_random_split_share(spark):
     df = spark.range(1001).withColumnRenamed("id", "k")
     out = ds.random_split(df, ["k"], 0.2, 42)
     assert out.filter(F.col("split") == "test").count() == math.ceil(0.2 * 1001)
+    hashed = out.select(ds.hash_key(["k"], 42).alias("h"), "split").toPandas().sort_values("h")
+    assert (hashed.split.tolist() == ["test"] * 201 + ["train"] * 800)
+    for share, n in ((0.0, 0), (1.0, 1001)):
+        assert ds.random_split(df, ["k"], share, 42).filter("split = 'test'").count() == n
+    assert ds.random_split(df.limit(0), ["k"], 0.2, 42).count() == 0
 
 
 def test_scalers_and_metrics(spark):
@@ -245,3 +243,86 @@ def test_checkpoint_dir_is_kept_when_set(spark):
     before = spark.conf.get("spark.checkpoint.dir")
     assert ensure_checkpoint_dir(spark) == before
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+# ---- missing values, codes and keys as pandas treats them
+
+def test_codes_are_padded_never_cut(spark):
+    df = spark.createDataFrame([("1",), ("974",), ("2A",), (None,)], "c string")
+    assert [r[0] for r in df.select(pad_code("c")).collect()] == ["01", "974", "2A", None]
+
+
+def test_filter_numeric_keeps_plain_numbers_only(spark):
+    from harvestlens.sources.catalog import filter_numeric
+    texts = ["1", " 2.5 ", "-3e2", ".5", "NaN", "12d", "3f", "Infinity", "altitude_m", "", None, "1 2"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    assert [r.x for r in filter_numeric(df, "x").collect()] == ["1", " 2.5 ", "-3e2", ".5"]
+
+
+def test_casts_raise_unless_lenient(spark):
+    from harvestlens.functions.columns import cast_columns
+    df = spark.createDataFrame([("1",), ("x",), (None,)], "a string")
+    with pytest.raises(Exception, match="not a double"):
+        cast_columns(df, {"a": "double"}).collect()
+    assert [r.a for r in cast_columns(df, {"a": "double"}, strict=False).collect()] == [1.0, None, None]
+
+
+def test_null_keys_and_nan_in_aggregates(spark):
+    from harvestlens.sources.stations import daily_from_hourly
+    ts = "2020-01-01 0{}:00:00"
+    rows = [("A", ts.format(1), 1.0), ("A", ts.format(2), float("nan")), (None, ts.format(1), 5.0), ("B", None, 5.0)]
+    df = spark.createDataFrame(rows, "dept_id string, t string, temp_air_c double").withColumn(
+        "datetime", F.to_timestamp("t"))
+    out = daily_from_hourly(df, ["temp_air_c"], []).collect()
+    assert [(r.dept_id, r.temp_air_c) for r in out] == [("A", 1.0)]
+
+
+def test_imputation_treats_nan_as_missing(spark):
+    from harvestlens.operators.impute import impute_levels, null_profile
+    nan = float("nan")
+    rows = [("A", 1, 1.0), ("A", 1, 3.0), ("A", 1, nan), ("A", 2, None), ("B", 1, None), (None, 1, nan)]
+    df = spark.createDataFrame(rows, "r string, y int, x double")
+    assert null_profile(df, ["x"]).first()["x"] == 4
+    two = impute_levels(df, ["x"], [["r", "y"], ["r"]])
+    assert two.columns == df.columns
+    assert sorted((str(r.r), r.y, r.x) for r in two.collect() if r.x is not None) == [
+        ("A", 1, 1.0), ("A", 1, 2.0), ("A", 1, 3.0), ("A", 2, 2.0)]
+    assert {r.x for r in impute_levels(df, ["x"], [["r", "y"], ["r"], []]).collect()} == {1.0, 2.0, 3.0}
+
+
+def test_lag_needs_the_year_before(spark):
+    df = spark.createDataFrame([("A", 2018, 5.0), ("A", 2020, 6.0), ("A", 2021, 7.0)], "DEPT_ID string, ANNEE int, RENDEMENT double")
+    assert {r.ANNEE: r.yield_pred for r in ds.lag_baseline(df).collect()} == {2018: None, 2020: None, 2021: 6.0}
+
+
+def test_padded_moments_keep_digits(spark):
+    import numpy as np
+    x = 1e8 + np.arange(50) / 50
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    got = ds.padded_moments(df, ["x"], 1, 50).first()
+    assert got["x_std"] == pytest.approx(x.std(), rel=1e-9) and got["x_mean"] == pytest.approx(x.mean())
+    padded = np.concatenate([x, np.zeros(30)])
+    got = ds.padded_moments(df, ["x"], 2, 40).first()
+    assert got["x_std"] == pytest.approx(padded.std()) and got["x_mean"] == pytest.approx(padded.mean())
+
+
+def test_file_names_without_id_raise(spark, tmp_path):
+    from harvestlens.sources.catalog import id_from_path
+    spark.range(3).write.csv(str(tmp_path / "plain"))
+    with pytest.raises(Exception, match="no id in file name"):
+        spark.read.csv(str(tmp_path / "plain")).select(id_from_path()).collect()
+
+
+def test_imputation_changes_an_indicator(spark):
+    """A heat day that is missing and imputed counts in the mart."""
+    import datetime
+    from harvestlens.operators.features import DAILY_FEATURES
+    from harvestlens.operators.impute import impute_two_level
+    from harvestlens.operators.mart import build_mart, label_stages
+    rows = [("01", datetime.date(2020, 5, 20 + i), None if i == 3 else 31.0) for i in range(6)]
+    panel = label_stages(spark.createDataFrame(rows, "DEPT_ID string, day date, t double"), "day")
+    hot = [f for f in DAILY_FEATURES if f.name == "floraison_nb_jours_tx_gt_30"]
+    roles = {"tx": "t", "ta": "t"}
+    raw = build_mart(panel, hot, roles=roles).first()[hot[0].name]
+    filled = build_mart(impute_two_level(panel, ["t"]), hot, roles=roles).first()[hot[0].name]
+    assert (raw, filled) == (5, 6)

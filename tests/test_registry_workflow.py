@@ -1,5 +1,4 @@
-"""Model registry workflow on the synthetic mart of the reference's tests:
-2 regions x 2014-2024, train <= 2019, test >= 2020."""
+"""The run log over several models, promotions and regions, with a gap in the years."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,59 +6,76 @@ from pyspark.sql import functions as F
 from harvestlens.operators.dataset import TemporalSplit
 from harvestlens.plans.runlog import RunLog
 
+SPLIT = TemporalSplit(train_max_year=2010, test_min_year=2012)
+
 
 @pytest.fixture()
-def mart(spark):
-    rows = [(d, y, 7.0 + 0.1 * (y - 2014) + (0.5 if d == "59" else 0.0), float(y - 2010),
-             100.0 + y) for d in ("59", "62") for y in range(2014, 2025)]
-    return spark.createDataFrame(rows, "DEPT_ID string, ANNEE int, RENDEMENT double, "
-                                       "feat_a double, feat_b double")
+def fields(spark):
+    """Four regions; region D has no 2013; the target is linear in both inputs."""
+    rows = []
+    for k, region in enumerate("ABCD"):
+        for year in range(2001, 2017):
+            if (region, year) != ("D", 2013):
+                rain, heat = float((7 * year + 3 * k) % 11), float((5 * year + k) % 7)
+                rows.append((region, year, 2.0 + 0.5 * rain - 0.25 * heat, rain, heat))
+    return spark.createDataFrame(rows, "DEPT_ID string, ANNEE int, RENDEMENT double, rain double, heat double")
 
 
 @pytest.fixture()
-def runlog(spark, tmp_path):
-    return RunLog(spark, str(tmp_path / "registry"))
-
-
-def test_full_registry_workflow(mart, runlog, tmp_path):
-    split = TemporalSplit(train_max_year=2019, test_min_year=2020)
-    run_id = runlog.train_and_register(mart, "ridge_default", ["feat_a", "feat_b"], split,
-                                       extra_params={"test_tag": "workflow"})
-    info = runlog.run_info(run_id)
-    assert info["metrics"]["n_test"] > 0
-    assert info["metrics"]["mae"] == info["metrics"]["mae"]      # not NaN
-    assert info["model_path"] and (tmp_path / "registry" / "models" / run_id).exists()
-    assert info["params"]["test_tag"] == "workflow"
-
-    runlog.promote("ridge_default", run_id)
-    assert runlog.production_run("ridge_default") == run_id
-
-    scored = runlog.predict_production(mart, "ridge_default")
-    assert "yield_pred" in scored.columns
-    assert scored.filter(F.col("model_run_id") != run_id).count() == 0
-    by_run = runlog.predict_run(mart, run_id)
-    a = sorted((r["DEPT_ID"], r["ANNEE"], r["yield_pred"]) for r in scored.collect())
-    b = sorted((r["DEPT_ID"], r["ANNEE"], r["yield_pred"]) for r in by_run.collect())
-    assert a == b
-    assert run_id in [r["run_id"] for r in runlog.runs("ridge_default").collect()]
-    assert runlog.latest("ridge_default").first()["run_id"] == run_id
-
-
-def test_lag1_rule_no_pipeline(mart, runlog):
-    split = TemporalSplit(train_max_year=2019, test_min_year=2020)
-    run_id = runlog.train_and_register(mart, "lag1", [], split)
-    info = runlog.run_info(run_id)
-    assert info["model_path"] is None
-    scored = runlog.predict_run(mart, run_id)
-    assert scored.filter(F.col("yield_pred").isNotNull()).count() > 0
-    # previous year's yield: every error is 0.1, first year per region has none
-    errs = scored.filter(F.col("yield_pred").isNotNull()).select(
-        F.round(F.col("RENDEMENT") - F.col("yield_pred"), 9).alias("e")).distinct().collect()
-    assert [r["e"] for r in errs] == [0.1]
-    assert scored.filter(F.col("yield_pred").isNull()).count() == 2
-    assert info["metrics"]["mae"] == pytest.approx(0.1)
-
-
-def test_temporal_split_rejects_overlap():
-    with pytest.raises(ValueError, match="test_min_year"):
-        TemporalSplit(train_max_year=2020, test_min_year=2020)
+def log(spark, tmp_path):
+    return RunLog(spark, str(tmp_path / "log"))
+
+
+def test_an_empty_log_knows_nothing(log):
+    assert log.runs().count() == 0 and log.latest().count() == 0
+    with pytest.raises(LookupError, match="no production run"):
+        log.production_run("ridge_default")
+    with pytest.raises(LookupError, match="unknown run"):
+        log.run_info("nothing")
+
+
+def test_an_unreadable_log_is_an_error(spark, tmp_path):
+    (tmp_path / "runs").mkdir()
+    (tmp_path / "runs" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        RunLog(spark, str(tmp_path)).runs().collect()
+
+
+def test_second_promotion_replaces_the_first(fields, log):
+    first = log.train_and_register(fields, "ridge_default", ["rain"], SPLIT)
+    second = log.train_and_register(fields, "ridge_default", ["rain", "heat"], SPLIT, extra_params={"note": 2})
+    other = log.train_and_register(fields, "lag1", [], SPLIT)
+    log.promote("ridge_default", first)
+    log.promote("lag1", other)
+    log.promote("ridge_default", second)
+    assert {r.model_id: r.run_id for r in log.production().collect()} == {"ridge_default": second, "lag1": other}
+    assert {r.run_id for r in log.runs("ridge_default").collect()} == {first, second}
+    assert {r.model_id: r.run_id for r in log.latest().collect()} == {"ridge_default": second, "lag1": other}
+    a, b = log.run_info(first), log.run_info(second)
+    assert b["params"]["note"] == "2" and "note" not in a["params"]
+    assert a["metrics"]["n_test"] == b["metrics"]["n_test"] == 4 * 5 - 1
+    assert b["metrics"]["mae"] < a["metrics"]["mae"]       # heat explains the rest
+
+    keys = ["DEPT_ID", "ANNEE"]
+    scored = log.predict_production(fields, "ridge_default")
+    assert {r.model_run_id for r in scored.select("model_run_id").distinct().collect()} == {second}
+    both = scored.select(*keys, "yield_pred").join(
+        log.predict_run(fields, first).select(*keys, F.col("yield_pred").alias("old")), keys)
+    assert both.count() == fields.count() and both.filter("yield_pred != old").count() > 0
+
+
+def test_the_lag_rule_skips_the_gap(fields, log):
+    run = log.train_and_register(fields, "lag1", [], SPLIT)
+    info = log.run_info(run)
+    assert info["model_path"] is None and info["metrics"]["n_test"] == 4 * 5 - 2
+    pred = {(r.DEPT_ID, r.ANNEE): r.yield_pred for r in log.predict_run(fields, run).collect()}
+    truth = {(r.DEPT_ID, r.ANNEE): r.RENDEMENT for r in fields.collect()}
+    for (region, year), p in pred.items():
+        assert p == truth.get((region, year - 1))
+    assert pred["D", 2014] is None and sum(p is None for p in pred.values()) == 5
+
+
+def test_overlapping_years_are_no_split():
+    for train, test in ((2012, 2012), (2013, 2012)):
+        with pytest.raises(ValueError, match="test_min_year"):
+            TemporalSplit(train, test)
