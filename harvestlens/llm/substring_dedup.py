@@ -66,7 +66,7 @@ def parsed(docs: DataFrame, length: int = LENGTH, span: int = SPAN) -> DataFrame
                 back = trigger - first
                 with np.errstate(over="ignore"):
                     ctx = mix(h1.of(first, last + length) + back.astype(U))
-                take = batch.take(pa.array(rows[text]))
+                take = batch.select([0, 1]).take(pa.array(rows[text]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h0.of(trigger, trigger + shared).view(np.int64)), pa.array(ctx.view(np.int64)),
                      take.column(0), take.column(1), pa.array(first - offsets[text] + shift),
