@@ -20,18 +20,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _prep_stages(features: list[str], scale: bool = True):
+def prep_stages(features: list[str], scale: bool = True):
     imputed = [f"__imp_{c}" for c in features]
-    stages = [Imputer(inputCols=features, outputCols=imputed, strategy="median"),
+    # relativeError 0: exact medians and quartiles
+    stages = [Imputer(inputCols=features, outputCols=imputed, strategy="median", relativeError=0.0),
               VectorAssembler(inputCols=imputed, outputCol="__raw", handleInvalid="keep")]
     if scale:
         stages.append(RobustScaler(inputCol="__raw", outputCol="features",
-                                   withCentering=True, withScaling=True))
+                                   withCentering=True, withScaling=True, relativeError=0.0))
     else:
         stages[-1].setOutputCol("features")
     return stages
 
 
+def usable_features(train: DataFrame, features: list[str]) -> list[str]:
+    """The features with at least one value in the training rows (no median otherwise)."""
+    n = train.agg(*[F.count(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None))).alias(str(i))
+                    for i, c in enumerate(features)]).first()
+    return [c for i, c in enumerate(features) if n[str(i)]]
+
+
 def _cast_features(df: DataFrame, features: list[str], target: str | None) -> DataFrame:
     cols = {c: F.col(c).cast("double") for c in features}
     if target and target in df.columns:
@@ -43,14 +51,14 @@ def gbt_pipeline(features: list[str], target: str, pred_col: str = "yield_pred",
                  **params) -> Pipeline:
     gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol=pred_col,
                        seed=params.pop("seed", 42), **params)
-    return Pipeline(stages=_prep_stages(features) + [gbt])
+    return Pipeline(stages=prep_stages(features) + [gbt])
 
 
 def ridge_pipeline(features: list[str], target: str, pred_col: str = "yield_pred",
                    reg_param: float = 1.0) -> Pipeline:
     lr = LinearRegression(featuresCol="features", labelCol=target, predictionCol=pred_col,
                           regParam=reg_param, elasticNetParam=0.0)
-    return Pipeline(stages=_prep_stages(features) + [lr])
+    return Pipeline(stages=prep_stages(features) + [lr])
 
 
 def fit(pipeline: Pipeline, train: DataFrame, features: list[str], target: str) -> PipelineModel:
@@ -91,5 +99,5 @@ def random_search(pipeline: Pipeline, estimator, grid: dict, n_draws: int, train
     data = fold_column(_cast_features(train, features, target).filter(F.col(target).isNotNull()),
                        key_cols, k, seed).checkpoint(eager=True)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol="fold", parallelism=parallelism, seed=seed)
+                        foldCol="fold", numFolds=k, parallelism=parallelism, seed=seed)
     return cv.fit(data)

@@ -1,106 +1,171 @@
-"""Registered model queries (rows-only checks: fitting is not SQL).
+"""Registered model queries.
 
-They train on the daily training mart (yield target x soil x NDVI x weather
-features built from the driver tables) with a temporal split.
+They fit on the engineered features of the daily training mart (yield target x soil x
+NDVI x weather indicators, then the soil and interaction features) with a temporal split.
+A fitted number can't be written in SQL, so what the oracles check is everything around
+it: which rows are scored, their targets, that each has a finite prediction, that both
+scoring routes agree, and the whole result of the rule model.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestlens.functions.columns import numeric_columns, round_doubles
 from harvestlens.operators.dataset import TemporalSplit, regression_metrics
-from harvestlens.operators.models import (fit, gbt_pipeline, predict, random_search,
-                                          ridge_pipeline, _prep_stages)
+from harvestlens.operators.models import (fit, gbt_pipeline, prep_stages, predict, random_search,
+                                          ridge_pipeline, usable_features)
+from harvestlens.operators.soil import feature_engineering
+from harvestlens.plans.catalog_queries import _training, _training_sql
 from harvestlens.plans.runlog import RunLog, default_root
+from harvestlens.plans.sql_oracle import rounded
 
 Q: dict = {}
+SQL: dict = {}
 
-FEATURES = ["ndvi_poly_mean", "silt_0-5cm_mean", "wv0033_100-200cm_mean",
-            "floraison_cumul_pluie_10j_max", "remplissage_nb_jours_tx_gt_25",
-            "hiver_anormalement_chaud", "remplissage_max_consecutive_dry_days"]
 SPLIT = TemporalSplit(train_max_year=1998, test_min_year=1999)
 KEYS = ["DEPT_ID", "harvest_year"]
 TARGET = "RENDEMENT"
 
+_TEST_ROWS = (f"SELECT DEPT_ID, harvest_year, RENDEMENT FROM ({_training_sql()}) t "
+              f"WHERE harvest_year >= {SPLIT.test_min_year}")
+
+
+def _data(spark, sf) -> tuple[DataFrame, list[str]]:
+    """The engineered mart, written once (fits and folds read it many times), and the
+    features that have a value in the training years."""
+    mart = feature_engineering(_training(spark, sf)).checkpoint(eager=True)
+    train, _ = SPLIT.split(mart, "harvest_year")
+    return mart, usable_features(train, numeric_columns(mart, exclude=("harvest_year", "ANNEE", TARGET)))
 
-def _mart(spark, sf):
-    from harvestlens.plans.catalog_queries import _training
-    return _training(spark, sf)
+
+def _present(scored: DataFrame) -> DataFrame:
+    finite = F.col("yield_pred").isNotNull() & ~F.isnan("yield_pred")
+    return round_doubles(scored.select(*KEYS, TARGET, finite.alias("predicted")))
 
 
 def _fit_predict(pipeline_fn):
     def run(spark, sf):
-        mart = _mart(spark, sf)
+        mart, features = _data(spark, sf)
         train, test = SPLIT.split(mart, "harvest_year")
-        model = fit(pipeline_fn(), train, FEATURES, TARGET)
-        return predict(model, test, FEATURES, KEYS + [TARGET])
+        model = fit(pipeline_fn(features), train, features, TARGET)
+        return predict(model, test, features, KEYS + [TARGET])
     return run
 
 
-Q["fit_ridge"] = _fit_predict(lambda: ridge_pipeline(FEATURES, TARGET, reg_param=0.1))
-Q["fit_gbt"] = _fit_predict(lambda: gbt_pipeline(FEATURES, TARGET, maxIter=20, maxDepth=3))
+_ridge = _fit_predict(lambda f: ridge_pipeline(f, TARGET, reg_param=0.1))
+_gbt = _fit_predict(lambda f: gbt_pipeline(
+    f, TARGET, maxIter=20, maxDepth=3, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+    minInstancesPerNode=2, minInfoGain=0.0))
+Q["fit_ridge"] = lambda spark, sf: _present(_ridge(spark, sf))
+Q["fit_gbt"] = lambda spark, sf: _present(_gbt(spark, sf))
+SQL["fit_ridge"] = SQL["fit_gbt"] = rounded(f"SELECT *, true AS predicted FROM ({_TEST_ROWS}) t", [TARGET],
+                                            KEYS + [TARGET, "predicted"], 6)
 
 
 def _search(metric: str, grid: dict, n_draws: int):
+    """The maps drawn and whether each has a finite score over 5 folds."""
     def run(spark, sf):
-        mart = _mart(spark, sf)
+        mart, features = _data(spark, sf)
         train, _ = SPLIT.split(mart, "harvest_year")
-        gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="yield_pred",
-                           seed=42)
-        from pyspark.ml import Pipeline
-        pipe = Pipeline(stages=_prep_stages(FEATURES) + [gbt])
-        cv = random_search(pipe, gbt, grid, n_draws, train, FEATURES, TARGET, KEYS, k=3,
-                           metric=metric, seed=42, parallelism=2)
-        rows = [(str({p.name: v for p, v in pm.items()}), float(m))
+        gbt = GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="yield_pred", seed=42)
+        cv = random_search(Pipeline(stages=prep_stages(features) + [gbt]), gbt, grid, n_draws, train,
+                           features, TARGET, KEYS, k=5, metric=metric, seed=42, parallelism=4)
+        rows = [(", ".join(f"{n}={v}" for n, v in sorted((p.name, v) for p, v in pm.items())), bool(m == m))
                 for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
-        return spark.createDataFrame(rows, f"params string, {metric} double")
+        return spark.createDataFrame(rows, "params string, finite boolean")
     return run
 
 
-Q["search_random"] = _search("r2", {"maxDepth": [2, 3], "maxIter": [5, 10], "stepSize": [0.1, 0.3]}, 3)
-Q["cv_mae"] = _search("mae", {"maxDepth": [2, 3], "maxIter": [5, 10]}, 4)
+_R2_GRID = {"maxDepth": [2], "maxIter": [3, 6], "stepSize": [0.1, 0.3]}
+_MAE_GRID = {"maxDepth": [2], "maxIter": [3, 6], "subsamplingRate": [0.8, 1.0]}
+
+
+def _grid_sql(grid: dict) -> str:
+    maps = [""]
+    for name in sorted(grid):
+        maps = [f"{m}, {name}={v}" if m else f"{name}={v}" for m in maps for v in grid[name]]
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{m}', true)" for m in maps) + ") AS t(params, finite)"
 
 
-def _runlog(spark):
-    return RunLog(spark, default_root(spark))
+Q["search_random"], SQL["search_random"] = _search("r2", _R2_GRID, 4), _grid_sql(_R2_GRID)
+Q["cv_mae"], SQL["cv_mae"] = _search("mae", _MAE_GRID, 4), _grid_sql(_MAE_GRID)
+
+
+def _runlog(spark) -> RunLog:
+    """A log of this call's own, so that a result doesn't depend on earlier calls."""
+    return RunLog(spark, f"{default_root(spark)}-{uuid.uuid4().hex[:12]}")
 
 
 def _q_score_batch(spark, sf):
-    mart = _mart(spark, sf).withColumnRenamed("harvest_year", "ANNEE")
+    mart, features = _data(spark, sf)
+    mart = mart.withColumnRenamed("harvest_year", "ANNEE")
     log = _runlog(spark)
-    run_id = log.train_and_register(mart, "ridge_default", FEATURES, SPLIT,
-                                    extra_params={"test_tag": "workflow"})
+    run_id = log.train_and_register(mart, "ridge_default", features, SPLIT, extra_params={"test_tag": "workflow"})
     log.promote("ridge_default", run_id)
-    by_pointer = log.predict_production(mart, "ridge_default")
-    by_run = log.predict_run(mart, run_id).select(
-        "DEPT_ID", "ANNEE", F.col("yield_pred").alias("yield_pred_run"))
-    return by_pointer.select("DEPT_ID", "ANNEE", TARGET, "yield_pred", "model_run_id").join(
-        by_run, ["DEPT_ID", "ANNEE"])
+    by_run = log.predict_run(mart, run_id).select("DEPT_ID", "ANNEE", F.col("yield_pred").alias("by_run"))
+    return (log.predict_production(mart, "ridge_default").join(by_run, ["DEPT_ID", "ANNEE"])
+            .select("DEPT_ID", "ANNEE", (F.col("yield_pred") == F.col("by_run")).alias("same"),
+                    (F.col("model_run_id") == run_id).alias("of_run")))
 
 
-def _q_run_log(spark, sf):
-    mart = _mart(spark, sf).withColumnRenamed("harvest_year", "ANNEE")
+Q["score_batch"] = _q_score_batch
+SQL["score_batch"] = (f"SELECT DEPT_ID, harvest_year AS ANNEE, true AS same, true AS of_run "
+                      f"FROM ({_training_sql()}) t")
+
+# the rule model, restated: the yield of the year before, where there is one
+_LAG_METRICS = f"""SELECT count(*) AS n_test, avg(abs(a.RENDEMENT - b.RENDEMENT)) AS mae
+FROM ({_training_sql()}) a JOIN ({_training_sql()}) b
+  ON a.DEPT_ID = b.DEPT_ID AND b.harvest_year = a.harvest_year - 1
+WHERE a.harvest_year >= {SPLIT.test_min_year}"""
+
+
+def _logged(spark, sf) -> RunLog:
+    mart = _training(spark, sf).select(*KEYS, TARGET).withColumnRenamed("harvest_year", "ANNEE").checkpoint(eager=True)
     log = _runlog(spark)
-    log.train_and_register(mart, "lag1", [], SPLIT)
-    return log.runs("lag1").select("run_id", "model_id", "created", "metrics", "model_path")
+    for note in ("first", "second"):
+        log.train_and_register(mart, "lag1", [], SPLIT, extra_params={"note": note})
+    return log
+
+
+def _run_row(runs: DataFrame) -> DataFrame:
+    return round_doubles(runs.select("model_id", F.col("params")["note"].alias("note"),
+                                     F.col("metrics")["n_test"].cast("long").alias("n_test"),
+                                     F.col("metrics")["mae"].alias("mae"), F.col("model_path").isNull().alias("is_rule")))
+
+
+def _q_run_log(spark, sf):
+    return _run_row(_logged(spark, sf).runs("lag1"))
 
 
 def _q_latest_run(spark, sf):
-    _q_run_log(spark, sf).count()
-    return _runlog(spark).latest()
+    log = _logged(spark, sf)
+    return _run_row(log.runs().join(log.latest().select("run_id"), "run_id"))
 
 
-def _q_score_metrics(spark, sf):
-    preds = Q["fit_ridge"](spark, sf)
-    return regression_metrics(preds, TARGET, "yield_pred")
+_RUN_COLS = ["model_id", "note", "n_test", "mae", "is_rule"]
+Q["run_log"], Q["latest_run"] = _q_run_log, _q_latest_run
+SQL["run_log"] = rounded(f"SELECT 'lag1' AS model_id, note, n_test, mae, true AS is_rule FROM ({_LAG_METRICS}) m, "
+                         "(VALUES ('first'), ('second')) AS v(note)", ["mae"], _RUN_COLS, 6)
+SQL["latest_run"] = rounded(f"SELECT 'lag1' AS model_id, 'second' AS note, n_test, mae, true AS is_rule "
+                            f"FROM ({_LAG_METRICS}) m", ["mae"], _RUN_COLS, 6)
 
 
-Q["score_batch"] = _q_score_batch
-Q["run_log"] = _q_run_log
-Q["latest_run"] = _q_latest_run
-Q["fit_metrics"] = _q_score_metrics
+def _q_fit_metrics(spark, sf):
+    m = regression_metrics(_ridge(spark, sf), TARGET, "yield_pred")
+    return m.select("n", *[(F.col(c).isNotNull() & ~F.isnan(c)).alias(f"{c}_finite") for c in ("mae", "mse", "rmse", "r2")])
+
+
+Q["fit_metrics"] = _q_fit_metrics
+SQL["fit_metrics"] = (f"SELECT count(RENDEMENT) AS n, true AS mae_finite, true AS mse_finite, true AS rmse_finite, "
+                      f"true AS r2_finite FROM ({_TEST_ROWS}) t")
 
 
 def register(q: dict, sql: dict) -> None:
     q.update(Q)
+    sql.update(SQL)

@@ -13,7 +13,6 @@ import __spark_entry__ as E  # noqa: E402
 from check_oracles import compare, duck  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-SLOW_ROWS_ONLY = {"search_random", "cv_mae", "fit_gbt", "score_batch", "fit_metrics"}
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +45,8 @@ def test_query_matches_oracle(spark, con, key):
     assert msg is None, msg
 
 
-@pytest.mark.parametrize("key", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW_ROWS_ONLY))
-def test_rows_only_queries_run(spark, key):
-    assert E.queries()[key](spark, SF).count() >= 0
+def test_sequence_dataset(spark):
+    """No oracle row can hold the nested arrays; see test_sequences.py for their values."""
+    df = E.queries()["sequence_dataset"](spark, SF)
+    rows = df.select("split", "n_steps", "steps", "RENDEMENT").collect()
+    assert rows and {r.steps for r in rows} == {8760} and all(r.n_steps <= r.steps for r in rows)
