@@ -190,10 +190,9 @@ def _q_station_hourly(spark, sf):
 
 @_reg("consolidate", _r(cs.station_hourly_sql(), _STATION_H_COLS[2:], _STATION_H_COLS))
 def _q_consolidate(spark, sf):
-    import uuid
+    from harvestlens.session import scratch
     from harvestlens.sources.stations import consolidate, read_consolidated
-    root = spark.conf.get("spark.checkpoint.dir").rstrip("/")
-    path = f"{root}/consolidated-{uuid.uuid4().hex[:12]}"
+    path = scratch(spark, "consolidated")
     consolidate(_stations_hourly(spark, sf), path)
     return round_doubles(read_consolidated(spark, path))
 
@@ -445,8 +444,9 @@ def _q_join_renamed_key(spark, sf):
 
 @_reg("mart_outer", _r(_mart_sql(), FEATURE_DOUBLES, ["DEPT_ID", "harvest_year"] + FEATURE_NAMES))
 def _q_mart_outer(spark, sf):
-    return round_doubles(build_mart_outer(_daily(spark, sf), tb.TESTBED_DAILY, time_col="day",
-                                          roles=tb.DAILY_ROLES))
+    # 19 marts read the panel: it is cut once, before them
+    panel = _daily(spark, sf).checkpoint(eager=True)
+    return round_doubles(build_mart_outer(panel, tb.TESTBED_DAILY, time_col="day", roles=tb.DAILY_ROLES))
 
 
 @_reg("spine_fill", f"SELECT k.DEPT_ID, k.harvest_year, CAST(coalesce(c.n_hot, 0) AS BIGINT) AS n_hot "

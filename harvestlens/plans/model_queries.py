@@ -9,8 +9,6 @@ scoring routes agree, and the whole result of the rule model.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -22,8 +20,9 @@ from harvestlens.operators.models import (fit, gbt_pipeline, prep_stages, predic
                                           ridge_pipeline, usable_features)
 from harvestlens.operators.soil import feature_engineering
 from harvestlens.plans.catalog_queries import _training, _training_sql
-from harvestlens.plans.runlog import RunLog, default_root
+from harvestlens.plans.runlog import RunLog
 from harvestlens.plans.sql_oracle import rounded
+from harvestlens.session import scratch
 
 Q: dict = {}
 SQL: dict = {}
@@ -99,7 +98,7 @@ Q["cv_mae"], SQL["cv_mae"] = _search("mae", _MAE_GRID, 4), _grid_sql(_MAE_GRID)
 
 def _runlog(spark) -> RunLog:
     """A log of this call's own, so that a result doesn't depend on earlier calls."""
-    return RunLog(spark, f"{default_root(spark)}-{uuid.uuid4().hex[:12]}")
+    return RunLog(spark, scratch(spark, "runlog"))
 
 
 def _q_score_batch(spark, sf):

@@ -6,8 +6,10 @@ Library code never creates a session on its own; it takes the caller's.
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +63,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
+
+
+_SCRATCH: dict[str, SparkSession] = {}
+
+
+def scratch(spark: SparkSession, prefix: str = "scratch") -> str:
+    """A new folder name below the shared checkpoint folder; what is written there goes when
+    the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        atexit.register(_remove_scratch)
+    _SCRATCH[path] = spark
+    return path
+
+
+def _remove_scratch() -> None:
+    for path, spark in _SCRATCH.items():
+        sc = spark.sparkContext
+        if sc._jsc is not None:  # the context may have been stopped
+            p = sc._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
