@@ -8,17 +8,15 @@ document and get the same result; rows sharing only the doc_id stay apart.
 
 from __future__ import annotations
 
-import atexit
 import hashlib
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestlens.session import ensure_checkpoint_dir
+from harvestlens.session import scratch
 
 # Word rule of the contracts: a word is a run of digits, lower-case ASCII letters and
 # non-ASCII characters, after A-Z were lower-cased.
@@ -57,27 +55,6 @@ def words(text: Column) -> Column:
         .otherwise(F.slice(parts, 1, F.size(parts) - 1))
 
 
-_SCRATCH: dict[str, SparkSession] = {}
-
-
-def scratch(spark: SparkSession) -> str:
-    """A new folder below the shared checkpoint folder, removed when the driver ends."""
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
-    if not _SCRATCH:
-        atexit.register(_clean)
-    _SCRATCH[path] = spark
-    return path
-
-
-def _clean() -> None:
-    for path, spark in _SCRATCH.items():
-        sc = spark.sparkContext
-        if sc._jsc is None:
-            continue
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-
-
 # Spark removes a write's shuffle files as soon as the write has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -87,7 +64,7 @@ def materialize(df: DataFrame) -> DataFrame:
     executor's part is read again instead of being computed again, and the shuffles below
     it are freed. Meant for tables used more than once or at the end of a long step."""
     spark = df.sparkSession
-    path = scratch(spark)
+    path = scratch(spark, "llm")
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
