@@ -31,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.filter("v > u").join(low, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         # now every link leads down from u to v
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -7,8 +7,9 @@
 2. Documents of equal words form one class; classes meet in buckets of equal bands.
 3. Every class is verified against its bucket's smallest member. In buckets that this does
    not join into one component, classes of different components are compared by
-   signature, block by block, and those that come near are verified too. A large group of
-   copies thus costs links in proportion to its size.
+   signature, block by block, and the pairs that come near are verified too: where they
+   are many, first each class's nearest, as long as that joins components, then all that
+   are left. A large group of copies thus costs pairs in proportion to its size.
 4. Verified links (Jaccard of the shingle sets at or above the threshold) are closed to
    components; the smallest document of each stays.
 """
@@ -29,6 +30,7 @@ from .textnum import U, groups, mix, sequence_hash, shingles, word_hashes
 BANDS, ROWS = 32, 6
 WIDTH, THRESHOLD = 5, 0.8
 BLOCK = 512
+PAIRS_PER_NODE = 4.0  # above that, a round verifies the nearest pairs first
 BROADCAST_ROWS = 1_000_000
 
 
@@ -60,7 +62,7 @@ def signatures(element: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: in
     step = 0
     while len(e):
         step += 1
-        draw = mix(e + U(step) * U(0xD1342543DE82EF95))
+        draw = mix(e + U(step * 0xD1342543DE82EF95 % (1 << 64)))
         t = t - np.log((draw >> U(11)).astype(np.float64) * 2.0 ** -53 + 2.0 ** -54) / w
         last = earliest.reshape(n, m).max(axis=1)
         on = t < last[o]
@@ -100,7 +102,7 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = W
                     continue
                 key = np.ascontiguousarray(key[some]).view(np.int64)
                 low = (mix(reg[some]) & U(255)).astype(np.uint8)
-                take = batch.slice(a, n).take(pa.array(some))
+                take = batch.slice(a, n).select([0, 1, 2]).take(pa.array(some))
                 yield pa.RecordBatch.from_arrays(
                     [take.column(0), take.column(1), take.column(2),
                      *(pa.array(sequence_hash(h, who, n, z)[some].view(np.int64)) for z in (1, 2)),
@@ -154,38 +156,51 @@ def _near_in_length(a: Column, b: Column, threshold: float) -> Column:
     return F.least(a, b) >= threshold * F.greatest(a, b)
 
 
-def _cross_pairs(rows: DataFrame, threshold: float, m: int, block: int = BLOCK) -> DataFrame:
-    """Pairs of nodes of one bucket but different components that come near by signature.
+def _cross_pairs(rows: DataFrame, threshold: float, m: int, per_node: float, block: int = BLOCK) -> DataFrame:
+    """Pairs of nodes of one bucket but different components that come near by signature;
+    a pair that meets in several bands is told by the first of them. Where two blocks have
+    more than ``per_node`` times their nodes, only those that are the nearest to one of the
+    two, and a pair of nulls to say that there are others.
 
-    rows: band, key, c (rows of the bucket), node, comp, size, sig. A bucket is cut into
-    blocks by the node's hash, and every two blocks meet in one task: bounded memory for
-    buckets of any size."""
+    rows: band, key, c (rows of the bucket), node, comp, size, sig, bands. A bucket is cut
+    into blocks by the node's hash, and every two blocks meet in one task: bounded memory
+    for buckets of any size."""
     floor = threshold - 4 * math.sqrt(threshold * (1 - threshold) / m)
     parts = F.ceil(F.col("c") / block).cast("int")
     rows = rows.withColumn("parts", parts).withColumn("b", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     # block b meets every block: it is sent to the pairs (b, x) and (x, b)
     spread = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "band", "key", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"),
-        (F.col("b") <= F.col("x")).alias("left"), "node", F.xxhash64("comp").alias("comp"), "size", "sig")
+        (F.col("b") <= F.col("x")).alias("left"), "node", F.xxhash64("comp").alias("comp"), "size", "sig", "bands")
 
     def run(table: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), dtype=np.uint8).reshape(-1, m)
         comp = table["comp"].to_numpy()
         size = table["size"].to_numpy()
+        keys = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(sig), -1)
+        keys = keys[:, :table["band"][0].as_py()]  # those of the bands before
         i, j = table["i"][0].as_py(), table["j"][0].as_py()
         left = np.flatnonzero(table["left"].to_numpy(zero_copy_only=False))
         right = left if i == j else np.setdiff1d(np.arange(len(sig)), left)
-        us, vs = [], []
-        for a in left.tolist():
-            near = right[right > a] if i == j else right
-            near = near[(comp[near] != comp[a])
-                        & (np.minimum(size[near], size[a]) >= threshold * np.maximum(size[near], size[a]))]
-            if len(near):
-                near = near[(sig[near] == sig[a]).mean(axis=1) >= floor]
-                us.extend([a] * len(near))
-                vs.extend(near.tolist())
+        match = np.full((len(left), len(right)), -1.0)
+        for row, a in enumerate(left.tolist()):
+            on = np.flatnonzero((comp[right] != comp[a]) & ((right > a) | (i != j)) & (
+                np.minimum(size[right], size[a]) >= threshold * np.maximum(size[right], size[a])))
+            on = on[~(keys[right[on]] == keys[a]).any(axis=1)]
+            if len(on):
+                match[row, on] = (sig[right[on]] == sig[a]).mean(axis=1)
+        near = match >= floor
+        others = bool(near.sum() > per_node * len(sig))
+        if others:
+            nearest = np.zeros_like(near)
+            nearest[np.arange(len(left)), match.argmax(axis=1)] = True
+            nearest[match.argmax(axis=0), np.arange(len(right))] = True
+            near &= nearest
+        at_left, at_right = np.nonzero(near)
+        us = pa.array([*left[at_left].tolist(), *[None] * others], pa.int64())
+        vs = pa.array([*right[at_right].tolist(), *[None] * others], pa.int64())
         node = table["node"].combine_chunks()
-        return pa.table({"u": node.take(pa.array(us, pa.int64())), "v": node.take(pa.array(vs, pa.int64()))})
+        return pa.table({"u": node.take(us), "v": node.take(vs)})
 
     ship(rows.sparkSession)
     kind = rows.schema["node"].dataType.simpleString()
@@ -209,18 +224,29 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
                        .filter(_near_in_length(F.col("size"), F.col("p.size"), threshold))
                        .select(F.col("p.node").alias("u"), F.col("node").alias("v")).distinct())
     links = materialize(verified(docs, star, threshold, width))
+    tried, links = star, links.select("u", "v")
     comps = materialize(components(links))
-    # buckets still in several components
-    placed = (members.join(comps, "node", "left")
-              .withColumn("comp", F.coalesce("component", "node")).drop("p", "component"))
-    split = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo != hi").select("band", "key"))
-    open_rows = placed.join(split, ["band", "key"]).join(contents.select("node", "sig"), "node")
-    more = materialize(_cross_pairs(open_rows, threshold, bands * rows)  # star has u < v too
-                       .join(star, ["u", "v"], "left_anti"))
-    if not more.isEmpty():
-        both = links.select("u", "v").union(verified(docs, more, threshold, width).select("u", "v"))
-        comps = materialize(components(both))
+    per_node = PAIRS_PER_NODE
+    while True:
+        # buckets still in several components
+        placed = (members.join(comps, "node", "left")
+                  .withColumn("comp", F.coalesce("component", "node")).drop("p", "component"))
+        split = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                 .filter("lo != hi").select("band", "key"))
+        open_rows = placed.join(split, ["band", "key"]).join(contents.select("node", "sig", "bands"), "node")
+        found = materialize(_cross_pairs(open_rows, threshold, bands * rows, per_node)  # u < v, as in star
+                            .join(tried, ["u", "v"], "left_anti"))
+        others, more = not found.filter("u is null").isEmpty(), found.filter("u is not null")
+        new = None if more.isEmpty() else materialize(verified(docs, more, threshold, width).select("u", "v"))
+        joined = new is not None and not new.isEmpty()
+        if joined:
+            links = links.union(new)
+            comps = materialize(components(links))
+        if not others:
+            break
+        if not joined:
+            per_node = math.inf  # the nearest join nothing any more: all that are left
+        tried = tried if new is None else tried.union(more)
     return (sig.select(*KEY, "_n", "c1", "c2", "size").join(contents.select("c1", "c2", "node"), ["c1", "c2"])
             .join(comps, "node", "left")
             .select("_n", *KEY, "node", F.coalesce("component", "node").alias("class_node"),
