@@ -254,8 +254,11 @@ def test_near_duplicates(docs, clashing, no_docs):
     assert probminhash_dedup.dedup(no_docs).count() == 0
 
 
-def test_near_duplicates_in_a_large_group(spark):
-    """Near copies of one text, chained and mutually borderline, beside unrelated texts."""
+@pytest.mark.parametrize("per_node", [4.0, 0.02])
+def test_near_duplicates_in_a_large_group(spark, monkeypatch, per_node):
+    """Near copies of one text, chained and mutually borderline, beside unrelated texts;
+    also when rounds verify the nearest pairs first."""
+    monkeypatch.setattr(probminhash_dedup, "PAIRS_PER_NODE", per_node)
     rng = random.Random(4)
     base = prose(50, 120).split()
     rows = []
