@@ -93,13 +93,15 @@ class Quantiser:
         return found
 
     def distances(self, queries: np.ndarray, at: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric distances queries x codes in list ``at``, by table lookup."""
+        """Squared asymmetric distances, codes x queries, in list ``at``, by table lookup: a
+        code picks a row (one entry per query) from each subspace's table."""
         rest = self._split(queries - self.centre[at])
-        total = np.zeros((len(queries), len(codes)))
+        total = np.zeros((len(codes), len(queries)), dtype=np.float32)
         for m, b in enumerate(self.books):
-            table = ((rest[:, m, None, :] - b[None]) ** 2).sum(axis=2)
-            total += table[:, codes[:, m]]
-        return np.sqrt(total)
+            x = rest[:, m]
+            table = (b ** 2).sum(axis=1)[:, None] - 2 * b @ x.T + (x ** 2).sum(axis=1)
+            total += np.take(table.astype(np.float32), codes[:, m], axis=0)
+        return total
 
 
 def _unit(column, dim: int) -> np.ndarray:
@@ -171,15 +173,18 @@ def _block(quantiser: Quantiser, threshold: float):
         here = key[0].as_py()
         q, s = _unit(queries["v"], quantiser.dim), _unit(stored["v"], quantiser.dim)
         codes = np.frombuffer(b"".join(stored["codes"].to_pylist()), np.uint8).reshape(-1, SUBSPACES)
-        distance = quantiser.distances(q, here, codes)
-        near = distance <= quantiser.radius + stored["error"].to_numpy()[None, :] + 1e-9
+        # in single precision: the bound is given some slack, the cosines decide
+        bound = (quantiser.radius + stored["error"].to_numpy()) ** 2 + 1e-4
+        near = (quantiser.distances(q, here, codes) <= bound.astype(np.float32)[:, None]).T
         # exact cosines of what the codes leave over
         rows = np.flatnonzero(near.any(axis=1))
-        linked = np.zeros_like(near)
+        linked = np.zeros(near.shape, dtype=bool)
         for a in range(0, len(rows), 256):
             r = rows[a:a + 256]
             c = np.flatnonzero(near[r].any(axis=0))
             linked[np.ix_(r, c)] = (q[r] @ s[c].T >= threshold) & near[np.ix_(r, c)]
+        if not linked.any():
+            return empty
         # every pair once: in one list by order, between lists where only one side or the
         # lower list sees it
         nodes = np.concatenate([np.stack([t[c].to_numpy() for c in ("i", "h1", "h2")], axis=1)
