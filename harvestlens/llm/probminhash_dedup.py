@@ -142,7 +142,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 def verified(docs: DataFrame, pairs: DataFrame, threshold: float, width: int) -> DataFrame:
     """(u, v, jaccard) of the pairs (u, v) whose shingle sets are similar enough."""
-    nodes = materialize(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+    nodes = materialize(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct())
     sets = materialize(_shingle_sets(docs, nodes, width))
     both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("set").alias("su")), "u")
             .join(sets.select(F.col("node").alias("v"), F.col("set").alias("sv")), "v"))
