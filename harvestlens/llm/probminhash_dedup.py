@@ -1,9 +1,11 @@
 """Operator 4: near-duplicate documents by ProbMinHash, banding and exact verification.
 
-1. Signatures. Each distinct five-word shingle of a document, weighted 1 + ln(count), is a
-   Poisson process of arrivals at random registers, its rate the weight; a register keeps
-   the earliest arrival. Processes stop at the latest time any register still waits for.
-   Registers of two documents agree with the probability Jaccard of their weights.
+1. Signatures. Each distinct five-word shingle of a document is a Poisson process of
+   arrivals at random registers, its rate the weight; a register keeps the earliest
+   arrival. Processes stop at the latest time any register still waits for. Registers of
+   two documents agree with the probability Jaccard of their weights. Links are by the
+   plain Jaccard, so every shingle weighs 1, however often it is repeated: then the two
+   are the same.
 2. Documents of equal words form one class; classes meet in buckets of equal bands.
 3. Every class is verified against its bucket's smallest member. In buckets that this does
    not join into one component, classes of different components are compared by
@@ -91,8 +93,8 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = W
             texts = _lower(batch.column(3))
             for a, b in groups([len(t) for t in texts]):
                 n = b - a
-                s, owner, count, h, who = weighted_sets(texts[a:b], width)
-                reg = signatures(s, owner, 1 + np.log(count), n, m)
+                s, owner, _, h, who = weighted_sets(texts[a:b], width)
+                reg = signatures(s, owner, np.ones(len(s)), n, m)
                 size = np.bincount(owner, minlength=n)
                 key = np.zeros((n, bands), dtype=U)
                 for k in range(rows):

@@ -273,6 +273,30 @@ def test_near_duplicates_in_a_large_group(spark, monkeypatch, per_node):
     assert got == {d: c for d, c, _ in jaccard_classes(rows)}
 
 
+def test_near_duplicates_with_uneven_repetition(spark):
+    """One of two copies repeats a line or a footer many times: the plain Jaccard stays."""
+    rows = []
+    for i in range(40):
+        base, extra = prose(5000 + i, 104), prose(6000 + i, 10)
+        rows.append((4 * i, base))                                         # 100 shingles
+        rows.append((4 * i + 1, base + (" " + " ".join(extra.split()[:5])) * 100))  # plain 0.95
+        rows.append((4 * i + 2, base + (" " + extra) * 100))                # plain 0.88
+        rows.append((4 * i + 3, base + (" " + " ".join(base.split()[:9])) * 400))
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in probminhash_dedup.dedup(table).select("doc.doc_id", "class_id").collect()}
+    assert got == {d: c for d, c, _ in jaccard_classes(rows)}
+    assert len(set(got.values())) == 40
+    # registers agree as often as the plain Jaccard says
+    texts = [b"a b c d e f g h " + b"i j k l m n " * 50, b"a b c d e f g h i j k l m n"]
+    s, owner, count, _, _ = probminhash_dedup.weighted_sets(texts)
+    a, b = (set(s[owner == k].tolist()) for k in (0, 1))
+    sig = probminhash_dedup.signed(spark.createDataFrame(
+        [(k, t.decode()) for k, t in enumerate(texts)], "doc_id long, text string"), 512, 8).orderBy("_d").collect()
+    x, y = (np.frombuffer(r.sig, np.uint8) for r in sig)
+    truth = len(a & b) / len(a | b)
+    assert max(count) > 40 and abs((x == y).mean() - truth) < 0.04
+
+
 def test_probminhash_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     m, pool = 4096, rng.integers(1, 2 ** 62, 60).astype(np.uint64)
