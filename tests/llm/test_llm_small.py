@@ -224,6 +224,47 @@ def test_pq_recall_at_the_threshold(spark):
     assert 0.9 * total <= found <= total
 
 
+def low_rank(rng, n, rank, dim):
+    return rng.normal(size=(n, rank)) @ rng.normal(size=(rank, dim))
+
+
+@pytest.mark.parametrize("shape, dim, lists", [("rank", 64, 1000), ("rank", 768, 77), ("spectrum", 768, 77)])
+def test_pq_probes_miss_no_link(shape, dim, lists):
+    """Vectors that vary in few directions, many dimensions, many lists: of every pair at
+    the threshold one end probes the other's list."""
+    rng = np.random.default_rng(13)
+    n = 20_000 if lists == 1000 else 6_000
+    x = low_rank(rng, n, 4 if dim == 64 else 8, dim) if shape == "rank" else (
+        rng.normal(size=(n, dim)) / np.sqrt(np.arange(1, dim + 1)))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if shape == "spectrum":  # has no near pairs of its own: every second row gets a neighbour
+        away = x[1::2] - (x[1::2] * x[::2]).sum(axis=1, keepdims=True) * x[::2]
+        away /= np.linalg.norm(away, axis=1, keepdims=True)
+        c = rng.uniform(0.901, 0.93, size=(n // 2, 1))
+        x[1::2] = c * x[::2] + np.sqrt(1 - c ** 2) * away
+    quantiser = pq_dedup.Quantiser(x, lists * lists, 0.9, pq_dedup.REACH)
+    assert len(quantiser.centre) == lists
+    own = pq_dedup._nearest(x, quantiser.centre)
+    found = quantiser.probes(x, own)
+    total = 0
+    for a in range(0, min(n, 3_000), 1_000):
+        u, v = np.nonzero(x[a:a + 1_000] @ x.T >= 0.9)
+        u += a
+        assert (found[u, own[v]] | found[v, own[u]]).all()
+        total += (u != v).sum()
+    assert total > 100
+
+
+def test_pq_dedup_low_rank(spark):
+    rng = np.random.default_rng(17)
+    x = low_rank(rng, 1500, 8, 384)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in pq_dedup.near_duplicates(table).collect()}
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    assert want.sum() > 100 and got == dict(enumerate(want.tolist()))
+
+
 # ---- near duplicates
 
 def jaccard_classes(rows):
