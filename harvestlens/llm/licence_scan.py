@@ -1,9 +1,9 @@
 """Operator 9: licence scan by a positional index of rare words.
 
 1. Document frequencies of all template words over the whole corpus give their IDF.
-2. The index holds the positions of each template's rarest words. A file's own rarest
-   licence words are looked up in it; file position minus template position is where the
-   template would begin, and words that agree on it make a candidate.
+2. The index holds the positions of each template's rarest words. Every index word of a
+   file is looked up in it; file position minus template position is where the template
+   would begin, and words that agree on it make a candidate.
 3. A candidate counts once its template's mandatory key phrases stand where the alignment
    puts them. Phrases of the base list are counted wherever they stand.
 
@@ -26,7 +26,6 @@ from .common import map_arrow, read_table
 from .licence_templates import BASE_PHRASES, TEMPLATES
 
 RARE_PER_TEMPLATE = 8   # index words of a template
-LOOKED_UP = 12          # highest-IDF licence words of a file that are looked up
 SLACK = 8               # words by which a key phrase may be off its place
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -63,7 +62,7 @@ def _stands(ws: list[bytes], phrase: list[bytes], near: int, slack: int) -> bool
     return any(ws[i:i + k] == phrase for i in range(max(0, near - slack), min(len(ws) - k, near + slack) + 1))
 
 
-def scan(ws: list[bytes], index: Index, looked_up: int = LOOKED_UP, slack: int = SLACK) -> tuple:
+def scan(ws: list[bytes], index: Index, slack: int = SLACK) -> tuple:
     """(n_base, first_word, last_word, base labels, all labels, score) of one file."""
     look = index.look
     places = defaultdict(list)
@@ -73,11 +72,9 @@ def scan(ws: list[bytes], index: Index, looked_up: int = LOOKED_UP, slack: int =
     base = [(i, label) for p, label in index.phrases for i in places.get(p[0], ())
             if ws[i:i + len(p)] == p]
     labels = {label for _, label in base}
-    rarest = sorted((w for w in places if w in index.postings),
-                    key=lambda w: (-index.idf(w), w))[:looked_up]
     votes: Counter = Counter()
-    for w in rarest:
-        for t, at in index.postings[w]:
+    for w in places:
+        for t, at in index.postings.get(w, ()):
             for i in places[w]:
                 votes[t, i - at] += 1
     score = 0.5 if base else 0.0

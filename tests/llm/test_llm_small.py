@@ -566,6 +566,19 @@ def test_licence_templates_are_found(spark):
     assert out[999].labels == "" and out[999].score == 0
 
 
+def test_licences_of_a_file_with_all_notices(spark):
+    from harvestlens.llm.licence_templates import TEMPLATES
+    every = "\n\n".join(text for _, text, _ in TEMPLATES)
+    grants = "\n".join(text for _, text, _ in TEMPLATES if len(text) < 120)
+    rows = [(1, every), (2, grants), (3, TEMPLATES[0][1] + "\n" + grants)]
+    rows += [(10 + i, text) for i, (_, text, _) in enumerate(TEMPLATES)]
+    out = {r.doc_id: set(r.labels.split(",")) for r in licence_scan.licence_scan(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    short = {label for label, text, _ in TEMPLATES if len(text) < 120}
+    assert out[1] >= {label for label, _, _ in TEMPLATES}
+    assert out[2] >= short and out[3] >= short | {"mit"}
+
+
 # ---- sharding
 
 def test_hilbert_index_walks_neighbours(spark):
