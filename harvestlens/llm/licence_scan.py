@@ -1,8 +1,9 @@
 """Operator 9: licence scan by a positional index of rare words.
 
 1. Document frequencies of all template words over the whole corpus give their IDF.
-2. The index holds the positions of each template's rarest words. Every index word of a
-   file is looked up in it; file position minus template position is where the template
+2. The index holds the positions of each template's rarest words among those that occur in
+   the corpus, and of the two rarest of each mandatory key phrase, so that a file in which
+   the phrases stand always becomes a candidate. Every index word of a file is looked up in it; file position minus template position is where the template
    would begin, and words that agree on it make a candidate.
 3. A candidate counts once its template's mandatory key phrases stand where the alignment
    puts them. Phrases of the base list are counted wherever they stand.
@@ -26,6 +27,7 @@ from .common import map_arrow, read_table
 from .licence_templates import BASE_PHRASES, TEMPLATES
 
 RARE_PER_TEMPLATE = 8   # index words of a template
+RARE_PER_PHRASE = 2     # and of each of its key phrases
 SLACK = 8               # words by which a key phrase may be off its place
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -46,8 +48,12 @@ class Index:
                           for label, text, keys in templates]
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         self.indexed = []
-        for t, (_, ws, _) in enumerate(self.templates):
-            best = sorted(set(ws), key=lambda w: (-self.idf(w), w))[:rare]
+        def rarest(ws: list[bytes], k: int) -> list[bytes]:
+            # a word that no document holds can't be looked up
+            return sorted({w for w in ws if frequencies.get(w)}, key=lambda w: (-self.idf(w), w))[:k]
+
+        for t, (_, ws, keys) in enumerate(self.templates):
+            best = set(rarest(ws, rare)).union(*(rarest(k, RARE_PER_PHRASE) for k in keys))
             self.indexed.append(len(best))
             for at, w in enumerate(ws):
                 if w in best:

@@ -579,6 +579,21 @@ def test_licences_of_a_file_with_all_notices(spark):
     assert out[2] >= short and out[3] >= short | {"mit"}
 
 
+@pytest.mark.parametrize("copies", [1, 50])
+def test_licence_notice_cut_after_its_key_phrases(spark, copies):
+    """Words that no document holds take no place in the index."""
+    from harvestlens.llm.licence_templates import TEMPLATES
+    assert TEMPLATES[0][0] == "mit"
+    cut = re.sub(r"\s+", " ", TEMPLATES[0][1])
+    cut = cut[:cut.index("restriction") + len("restriction")]
+    rows = [(i, cut) for i in range(copies)]
+    # the other words of the notice are common here, those of the rest occur nowhere
+    rows += [(1000 + i, prose(i, 20) + " " + cut.replace("hereby", "").replace("deal", "")) for i in range(100)]
+    out = licence_scan.licence_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.labels for r in out if r.doc_id < 1000} == {"mit"}
+    assert {r.labels for r in out if r.doc_id >= 1000} == {""}
+
+
 # ---- sharding
 
 def test_hilbert_index_walks_neighbours(spark):
