@@ -23,6 +23,7 @@ from .common import KEY, doc_key, materialize, read_table, words
 SIZE = 10
 SLOP = 3
 BROADCAST_ROWS = 200_000
+NEAR = "struct<start:int,words:int,item_id:string,item:long>"
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -63,9 +64,11 @@ def rarest_terms(docs: DataFrame, windows: DataFrame) -> DataFrame:
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP
                       ) -> DataFrame:
     """Per document with any: ``_d, _t``, candidates (array of start, win, item_id) to be
-    compared with its words, and near (number of items with a proximity match)."""
+    compared with its words, and near (array of start, words, item_id, item: the proximity
+    matches)."""
     windows = materialize(rarest_terms(docs, materialize(item_windows(benchmark, size))))
     win = _bounded(windows)
+    names = materialize(windows.select("item", "item_id").distinct())
     places = materialize(
         windows.select("item", F.explode(F.array_compact(F.array("a1", "a2"))).alias("o"), "s", "win")
         .select("item", (F.col("s") + F.col("o")).alias("j"), F.get("win", F.col("o")).alias("term"))
@@ -74,24 +77,40 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, s
     index = materialize(_postings(docs, anchors, *doc_key()))
     shifted = index.join(_bounded(places), "term").select(
         *KEY, "item", (F.col("pos") - F.col("j")).alias("shift"), "j")
-    # one exchange by (document, item) serves the neighbour test and the intersection
-    order = Window.partitionBy(*KEY, "item").orderBy("shift", "j")
-    gap = F.col("shift") - F.lag("shift").over(order)
-    apart = F.abs(F.col("j") - F.lag("j").over(order))
-    aligned = (shifted.withColumn("near", (gap <= slop) & (apart > 0) & (apart < size))
-               .groupBy(*KEY, "item", "shift")
-               .agg(F.collect_set("j").alias("js"), F.max("near").alias("near")))
+    # one exchange by (document, item) serves the grouping and the neighbourhoods
+    aligned = (shifted.repartition(*KEY, "item").groupBy(*KEY, "item", "shift")
+               .agg(F.sort_array(F.collect_set("j")).alias("js")))
+    # all places of the item met on this shift and the next ``slop``: at most the item's
+    # places for each shift, however long the document
+    order = Window.partitionBy(*KEY, "item").orderBy("shift").rangeBetween(0, slop)
+    aligned = aligned.withColumn("close", F.collect_list(F.struct("shift", "js")).over(order))
+
+    def matches(j):
+        """Spans from the posting of place j to those of other places of a window; the
+        same word of the document is no second posting."""
+        here = F.col("shift") + j
+        return F.flatten(F.transform("close", lambda r: F.transform(
+            F.filter(r["js"], lambda k: (k != j) & (F.abs(k - j) < size) & (r["shift"] + k != here)
+                     & ((r["shift"] > F.col("shift")) | (k > j))),
+            lambda k: F.struct(F.least(here, r["shift"] + k).cast("int").alias("start"),
+                               (F.abs(r["shift"] + k - here) + 1).cast("int").alias("words")))))
+
+    several = (F.size("close") > 1) | (F.size("js") > 1)
+    pairs = F.when(several, F.array_distinct(F.flatten(F.transform("js", matches))))
+    aligned = aligned.withColumn("pairs", pairs).drop("close")
 
     def met(offset: str):
         return F.array_contains("js", F.col("s") + F.col(offset))
 
     found = (aligned.join(win, "item").filter(met("a1") & (F.col("a2").isNull() | met("a2")))
              .select(*KEY, F.struct((F.col("shift") + F.col("s")).alias("start"), "win", "item_id").alias("c"),
-                     F.lit(None).cast("long").alias("near")))
-    near = aligned.filter("near").select(*KEY, F.lit(None).cast(found.schema["c"].dataType).alias("c"),
-                                         F.col("item").alias("near"))
+                     F.lit(None).cast(NEAR).alias("near")))
+    near = (aligned.filter(F.size("pairs") > 0).join(_bounded(names), "item")
+            .select(*KEY, F.explode("pairs").alias("p"), "item", "item_id")
+            .select(*KEY, F.lit(None).cast(found.schema["c"].dataType).alias("c"),
+                    F.struct("p.start", "p.words", "item_id", "item").alias("near")))
     return (found.union(near).groupBy(*KEY)
-            .agg(F.collect_list("c").alias("candidates"), F.size(F.collect_set("near")).alias("near")))
+            .agg(F.collect_list("c").alias("candidates"), F.collect_set("near").alias("near")))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop: int = SLOP) -> DataFrame:
@@ -99,8 +118,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop:
 
     Returns struct ``doc`` (the columns of ``docs``), n_words, n_hit (words inside an
     occurrence), items (ids with occurring windows, as strings, sorted), spans (array of
-    start, words, item_id: the exact phrase matches) and n_near (items with a proximity
-    match: two rare terms of one window in place to within ``slop`` words).
+    start, words, item_id: the exact phrase matches), n_near (items with a proximity match:
+    two rare terms of one window in place to within ``slop`` words) and near_spans (array
+    of start, words, item_id: from the one term to the other of every such match).
 
     Null and empty texts have no words; items without words have no window, an item of
     fewer than ``size`` words is one window. An item with null id takes part but has no
@@ -125,7 +145,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop:
     ids = F.array_sort(F.array_compact(F.array_distinct(F.col("spans.item_id"))))
     return rows.select("doc", F.size("w").cast("long").alias("n_words"), hit.cast("long").alias("n_hit"),
                        ids.alias("items"), "spans",
-                       F.coalesce(F.col("near"), F.lit(0)).cast("long").alias("n_near"))
+                       F.when(F.col("near").isNull(), 0).otherwise(F.size(F.array_distinct(F.col("near.item"))))
+                       .cast("long").alias("n_near"),
+                       F.coalesce(F.array_sort(F.transform("near", lambda s: F.struct(
+                           s["start"].alias("start"), s["words"].alias("words"), s["item_id"].alias("item_id")))),
+                           F.array().cast("array<struct<start:int,words:int,item_id:string>>")).alias("near_spans"))
 
 
 def op7_decontamination(spark, sf_dir: str) -> DataFrame:

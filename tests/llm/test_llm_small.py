@@ -490,6 +490,33 @@ def test_proximity_without_a_phrase(spark):
     assert out[2].n_near == 1 and out[3].n_near == 0
 
 
+def near_by_hand(text, item, size=10, slop=3):
+    """Spans of pairs of places at most ``slop`` shifts apart, where every word is rare."""
+    w, iw = words(text), words(item)
+    posts = [(p, j) for p, x in enumerate(w) for j, y in enumerate(iw) if x == y]
+    return {(min(p, q), abs(p - q) + 1) for p, j in posts for q, k in posts
+            if p != q and j != k and abs(j - k) < size and abs((p - j) - (q - k)) <= slop}
+
+
+def test_proximity_past_postings_between(spark):
+    """Items of two words make every word an index term; unrelated postings and repeats lie
+    between those that match."""
+    rng = random.Random(21)
+    items = [(1, "alpha bravo"), (2, "golf x1 hotel golf"), (3, "kilo lima kilo")]
+    rows = [(1, "alpha x x bravo"), (2, "alpha alpha x bravo bravo"), (3, "golf"), (4, "kilo"),
+            (5, "x1 golf hotel hotel hotel x1 golf x x golf")]
+    rows += [(10 + i, " ".join(rng.choices(["alpha", "bravo", "golf", "hotel", "x1", "kilo", "lima", "y", "z"], k=25)))
+             for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for item in items:
+        w = words(item[1])
+        out = decontamination.decontaminate(docs, spark.createDataFrame([item], "item_id long, text string"), size=2)
+        for r in out.select("doc.doc_id", "doc.text", "n_near", "near_spans").collect():
+            want = near_by_hand(r.text, item[1], size=2)
+            assert {(s.start, s.words) for s in r.near_spans} == want, (r.doc_id, w)
+            assert r.n_near == bool(want) and all(s.item_id == str(item[0]) for s in r.near_spans)
+
+
 # ---- substrings
 
 def removed_by_hand(rows, size=200):
