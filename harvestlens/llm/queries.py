@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (best_fit_packing, decontamination, hilbert_sharding, language_id, lattice_lm,
+from . import (best_fit_packing, conversation_trie, decontamination, hilbert_sharding, language_id, lattice_lm,
                licence_scan, line_dedup, pq_dedup, probminhash_dedup, substring_dedup)
 
 
@@ -19,3 +19,5 @@ def register(queries: dict, sql: dict) -> None:
     queries["op8_prefix_free_dedup"] = substring_dedup.op8_prefix_free_dedup
     queries["op9_licence_scan"] = licence_scan.op9_licence_scan
     queries["op10_hilbert_sharding"] = hilbert_sharding.op10_hilbert_sharding
+    queries["op12_conversation_trie"] = conversation_trie.op12_conversation_trie
+    sql["op12_conversation_trie"] = conversation_trie.ORACLE
