@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (best_fit_packing, conversation_trie, decontamination, hilbert_sharding, language_id, lattice_lm,
-               licence_scan, line_dedup, pq_dedup, probminhash_dedup, substring_dedup)
+from . import (best_fit_packing, collocations, conversation_trie, decontamination, hilbert_sharding,
+               language_id, lattice_lm, licence_scan, line_dedup, pq_dedup, probminhash_dedup, substring_dedup)
 
 
 def register(queries: dict, sql: dict) -> None:
@@ -21,3 +21,5 @@ def register(queries: dict, sql: dict) -> None:
     queries["op10_hilbert_sharding"] = hilbert_sharding.op10_hilbert_sharding
     queries["op12_conversation_trie"] = conversation_trie.op12_conversation_trie
     sql["op12_conversation_trie"] = conversation_trie.ORACLE
+    queries["op13_collocations"] = collocations.op13_collocations
+    sql["op13_collocations"] = collocations.ORACLE
