@@ -13,8 +13,11 @@ import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from harvestlens.session import scratch
 
@@ -98,3 +101,31 @@ def map_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
+
+
+def map_texts(docs: DataFrame, start, fields: list[tuple[str, str]], returned: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` as struct ``doc`` (of all columns, or those ``returned``) beside
+    the columns ``fields`` (name, type) of what ``start()`` makes of each text.
+
+    ``start`` runs once a task and returns a function from a text (or None) to a tuple. Each
+    text goes to Python once, in slices of few rows, so that results of long texts do not
+    pile up."""
+    names = returned if returned is not None else docs.columns
+    send = docs if returned is None else docs.select(*names, *[c for c in ["text"] if c not in names])
+    at = send.columns.index("text")
+    schema = T.StructType([T.StructField("doc", T.StructType([send.schema[n] for n in names])),
+                           *[T.StructField(n, T._parse_datatype_string(t)) for n, t in fields]])
+    types = [to_arrow_type(f.dataType) for f in schema.fields[1:]]
+
+    def run(batches):
+        of = start()
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                rows = [of(t.as_py()) for t in part.column(at)]
+                doc = pa.StructArray.from_arrays([part.column(i) for i in range(len(names))], names)
+                yield pa.RecordBatch.from_arrays(
+                    [doc, *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]],
+                    ["doc", *[n for n, _ in fields]])
+
+    return map_arrow(send, run, schema)

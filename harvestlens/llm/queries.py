@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from . import (best_fit_packing, collocations, conversation_trie, decontamination, hilbert_sharding,
-               language_id, lattice_lm, licence_scan, line_dedup, pq_dedup, probminhash_dedup, substring_dedup)
+               language_id, lattice_lm, licence_scan, line_dedup, pq_dedup, probminhash_dedup, substring_dedup,
+               toxicity)
 
 
 def register(queries: dict, sql: dict) -> None:
@@ -19,6 +20,7 @@ def register(queries: dict, sql: dict) -> None:
     queries["op8_prefix_free_dedup"] = substring_dedup.op8_prefix_free_dedup
     queries["op9_licence_scan"] = licence_scan.op9_licence_scan
     queries["op10_hilbert_sharding"] = hilbert_sharding.op10_hilbert_sharding
+    queries["op11_toxicity"] = toxicity.op11_toxicity
     queries["op12_conversation_trie"] = conversation_trie.op12_conversation_trie
     sql["op12_conversation_trie"] = conversation_trie.ORACLE
     queries["op13_collocations"] = collocations.op13_collocations
