@@ -11,12 +11,10 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import map_arrow, read_table
+from .common import map_texts, read_table
 
 # Bounds of the fit, per language: documents sampled, characters taken from each, bytes
 # of the dictionary.
@@ -110,8 +108,9 @@ def predict(text: str | None, coders: list[Coder], chunk: int = CHUNK) -> tuple[
 
 
 def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_MARGIN,
-             level: int = LEVEL, chunk: int = CHUNK) -> DataFrame:
-    """The rows of ``docs`` as struct ``doc`` with lang_pred, score, margin and rejected.
+             level: int = LEVEL, chunk: int = CHUNK, returned: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` as struct ``doc`` (of all columns, or those ``returned``) with
+    lang_pred, score, margin and rejected.
 
     lang_pred is the language of the smallest encoding (ties: the first by name), or
     ``und`` where the text is null or has no letter or no language was learned. score is
@@ -121,19 +120,11 @@ def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_M
     """
     learned = tuple(sorted(model.items()))
 
-    def run(batches):
+    def start():
         coders = _coders(learned, level)
-        for batch in batches:
-            found = [predict(t.as_py(), coders, chunk) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0)] + [pa.array([x[i] for x in found], t) for i, t in
-                                     enumerate((pa.string(), pa.float64(), pa.float64()))],
-                ["doc", "lang_pred", "score", "margin"])
-
-    doc = docs.select(F.struct("*").alias("doc"))
-    schema = T.StructType([*doc.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType())])
-    out = map_arrow(doc.select("doc", "doc.text"), run, schema)
+        return lambda text: predict(text, coders, chunk)
+
+    out = map_texts(docs, start, [("lang_pred", "string"), ("score", "double"), ("margin", "double")], returned)
     return out.withColumn("rejected", (F.col("lang_pred") == UNDETERMINED) | (F.col("margin") < min_margin))
 
 
@@ -141,6 +132,6 @@ def op5_language_id(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = fit(docs.filter(~held_out(F.col("doc_id"))))
     # only doc_id and text go to the prediction; doc_id just labels the result
-    out = identify(docs.select("doc_id", "text"), model)
+    out = identify(docs.select("doc_id", "text"), model, returned=["doc_id"])
     return out.select("doc.doc_id", held_out(F.col("doc.doc_id")).alias("held_out"),
                       "lang_pred", "score", "margin", "rejected")

@@ -53,31 +53,38 @@ def weighted_sets(texts: list[bytes], width: int = WIDTH):
     return s[at], owner[at], np.diff(np.append(at, len(s))), h, who
 
 
-def signatures(element: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int, m: int) -> np.ndarray:
+def signatures(element: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: int, m: int,
+               at_once: int = 1 << 17) -> np.ndarray:
     """ProbMinHash registers (n x m, uint64) of n weighted sets given as one list.
 
-    All processes advance together, one arrival a round; a process leaves when its next
-    arrival comes later than every register of its set."""
+    Processes advance together, one arrival a round, ``at_once`` of them at a time; a
+    process leaves when its next arrival comes later than every register of its set."""
     earliest = np.full(n * m, np.inf)
     register = np.zeros(n * m, dtype=U)
-    e, o, w, t = element, owner, weight, np.zeros(len(element))
-    step = 0
-    while len(e):
-        step += 1
-        draw = mix(e + U(step * 0xD1342543DE82EF95 % (1 << 64)))
-        t = t - np.log((draw >> U(11)).astype(np.float64) * 2.0 ** -53 + 2.0 ** -54) / w
-        last = earliest.reshape(n, m).max(axis=1)
-        on = t < last[o]
-        e, o, w, t, draw = e[on], o[on], w[on], t[on], draw[on]
-        slot = o * m + (mix(draw) % U(m)).astype(np.int64)
-        np.minimum.at(earliest, slot, t)
-        won = earliest[slot] == t
-        register[slot[won]] = e[won]
+    for low in range(0, len(element), at_once):
+        e, o, w = (x[low:low + at_once] for x in (element, owner, weight))
+        t = np.zeros(len(e))
+        step = 0
+        while len(e):
+            step += 1
+            draw = mix(e + U(step * 0xD1342543DE82EF95 % (1 << 64)))
+            t = t - np.log((draw >> U(11)).astype(np.float64) * 2.0 ** -53 + 2.0 ** -54) / w
+            last = earliest.reshape(n, m).max(axis=1)
+            on = t < last[o]
+            e, o, w, t, draw = e[on], o[on], w[on], t[on], draw[on]
+            slot = o * m + (mix(draw) % U(m)).astype(np.int64)
+            np.minimum.at(earliest, slot, t)
+            won = earliest[slot] == t
+            register[slot[won]] = e[won]
     return register.reshape(n, m)
 
 
-def _lower(batch_column) -> list[bytes]:
-    return [(t.as_py() or "").encode().lower() for t in batch_column]
+def _in_groups(column):
+    """(first row, texts as lower-cased UTF-8) of consecutive rows of bounded size: only one
+    group is copied at a time."""
+    sizes = [t.as_buffer().size if t.is_valid else 0 for t in column]
+    for a, b in groups(sizes):
+        yield a, [(t.as_py() or "").encode().lower() for t in column.slice(a, b - a)]
 
 
 SIGNED = ("_n boolean, _d long, _t long, c1 long, c2 long, size int, bands array<long>, sig binary")
@@ -90,10 +97,9 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, width: int = W
 
     def run(batches):
         for batch in batches:
-            texts = _lower(batch.column(3))
-            for a, b in groups([len(t) for t in texts]):
-                n = b - a
-                s, owner, _, h, who = weighted_sets(texts[a:b], width)
+            for a, texts in _in_groups(batch.column(3)):
+                n = len(texts)
+                s, owner, _, h, who = weighted_sets(texts, width)
                 reg = signatures(s, owner, np.ones(len(s)), n, m)
                 size = np.bincount(owner, minlength=n)
                 key = np.zeros((n, bands), dtype=U)
@@ -127,11 +133,10 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = _lower(batch.column(3))
-            for a, b in groups([len(t) for t in texts]):
-                s, owner, *_ = weighted_sets(texts[a:b], width)
-                ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=b - a))))
-                part = batch.slice(a, b - a)
+            for a, texts in _in_groups(batch.column(3)):
+                s, owner, *_ = weighted_sets(texts, width)
+                ends = np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(texts)))))
+                part = batch.slice(a, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(i) for i in range(3)),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(s.view(np.int64)))],

@@ -23,19 +23,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix(np.arange(256, dtype=U) + U(1000))
+SEGMENT = 1 << 19  # bytes of text whose words are hashed at once
+KEPT = 1 << 21     # longest table of powers that is kept
 _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    got = _POWERS.get(base)
-    if got is None or len(got) < n:
-        steps = np.full(max(n, 1 << 21), base, dtype=U)
-        steps[0] = 1
-        got = _POWERS[base] = np.cumprod(steps)
-    return got[:n]
+    if n > KEPT:  # a single word of that length
+        return _power_table(base, n)
+    if len(_POWERS.get(base, ())) < n:
+        _POWERS[base] = _power_table(base, 1 << (n - 1).bit_length())
+    return _POWERS[base][:n]
 
 
-def groups(sizes: list[int], limit: int = 1 << 21):
+def _power_table(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=U)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+def groups(sizes: list[int], limit: int = SEGMENT):
     """Index ranges of consecutive items of about ``limit`` bytes together."""
     start = total = 0
     for i, n in enumerate(sizes):
@@ -51,7 +58,41 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, index of its text) for texts whose A-Z are lower-cased.
 
     A word's hash is a polynomial in its bytes, taken as a difference of prefix sums, so
-    the cost does not depend on the number of words."""
+    the cost does not depend on the number of words. Long texts are cut between words, so
+    that the sums' tables stay small."""
+    found = [(np.empty(0, U), np.empty(0, np.int64))]
+    for low, high in groups([len(t) for t in texts]):
+        part = texts[low:high]
+        if sum(map(len, part)) + len(part) <= SEGMENT:
+            h, who = _word_hashes(part)
+            found.append((h, who + low))
+        else:  # one text
+            found.extend((h, np.full(len(h), low, np.int64)) for h in map(_segment_hashes, _segments(part[0])))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _segments(text: bytes):
+    """Pieces of a text of at most SEGMENT bytes that end between words; more only for a word
+    that is longer."""
+    start, n = 0, len(text)
+    while start < n:
+        end = min(start + SEGMENT - 1, n)
+        if end < n:
+            gaps = np.flatnonzero(~_IS_WORD[np.frombuffer(text, np.uint8, end - start, start)])
+            if len(gaps):
+                end = start + int(gaps[-1]) + 1
+            else:  # inside a long word: up to its end
+                while end < n and _IS_WORD[text[end]]:
+                    end += 1
+        yield text[start:end]
+        start = end
+
+
+def _segment_hashes(text: bytes) -> np.ndarray:
+    return _word_hashes([text])[0]
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
     if not len(data):
         return np.empty(0, U), np.empty(0, np.int64)
