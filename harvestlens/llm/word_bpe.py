@@ -17,7 +17,8 @@ from functools import lru_cache
 CACHE_RUNS, CACHE_WORDS = 800_000, 400_000  # bounds of the per-process tables (200 MB)
 
 # Printable ASCII, tab, newlines and the Latin letters to U+024F: composed already under
-# NFC, and stable across Unicode versions.
+# NFC, and stable across Unicode versions. A text counts as plain if its lower-cased form,
+# from which words are cut, is: some capitals have small letters beyond.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ]*")
 
 
@@ -48,7 +49,9 @@ class WordBpe:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
+        # strings in a text that the tokenizer takes for special tokens
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.words: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
@@ -65,9 +68,10 @@ class WordBpe:
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        if _PLAIN.fullmatch(text) is None:
+        low = text.lower()
+        if _PLAIN.fullmatch(low) is None or _PLAIN.fullmatch(text) is None or self.special.search(low):
             return self._encode_text(text)
-        runs = text.lower().split()
+        runs = low.split()
         known = self.runs
         try:
             return b"".join(map(known.__getitem__, runs))

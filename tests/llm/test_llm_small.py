@@ -140,7 +140,6 @@ def test_plan_packing_best_fit_by_hand():
 def test_packing(docs, clashing, no_docs):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(best_fit_packing.vocabulary_path())
-    t.encode_special_tokens = True
     want = collections.Counter()
     for d, text, *_ in ROWS:
         ids = t.encode(text or "", add_special_tokens=False).ids + [1]
@@ -157,6 +156,23 @@ def test_packing(docs, clashing, no_docs):
     assert best_fit_packing.pack(no_docs).count() == 0
 
 
+def test_word_ids_are_the_tokenizers():
+    """Every admitted character alone, in words and beside punctuation, random mixtures, and
+    the special tokens' strings, against an untouched tokenizer."""
+    from tokenizers import Tokenizer
+
+    from harvestlens.llm import word_bpe
+    path = best_fit_packing.vocabulary_path()
+    t, own = Tokenizer.from_file(path), word_bpe.WordBpe(path)
+    chars = [c for c in map(chr, range(0x2C0)) if word_bpe._PLAIN.fullmatch(c.lower()) or word_bpe._PLAIN.fullmatch(c)]
+    rng = random.Random(3)
+    texts = [x for c in chars for x in (c, c + "li", "a" + c, f'"{c}li"', c + "'s", "1" + c, 2 * c, c + ".", f" {c} ")]
+    texts += ["".join(rng.choices(chars, k=rng.randint(1, 12))) for _ in range(5000)]
+    texts += ["a <|endoftext|> b", "x<|startoftext|>y", "<|EndOfText|>", "<|endoftext|", "MƏN Əli Ɛdze", "İstanbul"]
+    for x in texts:
+        assert np.frombuffer(own.ids(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, x
+
+
 def test_packing_round_trip(docs):
     rows = best_fit_packing.pack(docs, with_ids=True).toPandas()
     for r in rows.itertuples():
