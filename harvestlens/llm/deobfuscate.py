@@ -36,7 +36,7 @@ JOINED, APART = math.log(0.7), math.log(0.3)     # letters written apart
 APART_LETTERS = re.compile(r"(?<!\S)\S(?:[ \t]+\S){2,}(?!\S)")
 _LONG_RUN = re.compile(r"([^\W\d_])\1\1")
 _WORD = re.compile(r"[^\W\d_]+")
-_EDGE = re.compile(r"^[^\w@$!|+(€£*]+|(\W)\1+$|[^\w@$]+$")
+_EDGE = re.compile(r"^[^\w@$!|+(€£*]+|(\W)\1\1+$|[^\w@$]+$")
 
 
 def symbol(ch: str) -> int:

@@ -37,7 +37,7 @@ def test_native_queries_run_no_python(spark):
 
 def test_one_query_per_operator():
     numbers = collections.Counter(int(k[2:].split("_")[0]) for k in Q)
-    assert numbers == dict.fromkeys(range(1, 11), 1)
+    assert numbers == dict.fromkeys(range(1, 14), 1)
 
 
 def test_pipeline_stages(spark):
