@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on (pinned for comparisons with other engines).
 REQUIRED_CONF = {
@@ -78,6 +78,14 @@ def scratch(spark: SparkSession, prefix: str = "scratch") -> str:
     return path
 
 
+def stored(df: DataFrame, prefix: str = "table") -> DataFrame:
+    """``df`` written once below the shared folder and read back: lineage is cut, and what
+    is read of it later is pruned and filtered at the scan."""
+    path = scratch(df.sparkSession, prefix)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _remove_scratch() -> None:
     for path, spark in _SCRATCH.items():
         sc = spark.sparkContext
