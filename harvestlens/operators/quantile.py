@@ -1,4 +1,4 @@
-"""Exact global quantiles, in one way at every size and without a one-task merge.
+"""Exact quantiles, global and per key, in one way at every size and without a one-task merge.
 
 1. Every column's values are counted (``groupBy(column, value)``: repeated values combine
    in the map tasks and collapse to one row).
@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from harvestlens.session import stored
+
 
 def global_quantiles(df: DataFrame, cols: list[str], qs: list[float]) -> dict:
     """{(col, q): exact quantile}; NULL and NaN are ignored, an empty column gives None."""
@@ -145,3 +147,16 @@ def keyed_quantiles(counts: DataFrame, keys: list[str], qs: list[float],
         exact = F.floor(at(q)) == F.ceil(at(q))
         out.append(F.when(exact, low).otherwise((F.ceil(at(q)) - at(q)) * low + (at(q) - F.floor(at(q))) * high).alias(f"q{i}"))
     return picked.select(*by, *out)
+
+
+def quantile_columns(rows: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """(keys, one column per name): quantile q of a column under the keys, for ``wanted``
+    {name: (column, q)}. The counts are written to the shared folder: ``rows`` is read once."""
+    cols = sorted({c for c, _ in wanted.values()})
+    qs = sorted({q for _, q in wanted.values()})
+    counts = stored(value_counts(rows, keys, cols), "counts")
+    bounds, _ = value_ranges(counts)
+    by_column = keyed_quantiles(counts, keys, qs, bounds)
+    return by_column.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("k") == cols.index(c), F.col(f"q{qs.index(q)}"))).alias(name)
+        for name, (c, q) in wanted.items()])

@@ -15,6 +15,7 @@ from harvestlens.functions.calendar import cyclic_encode, parse_hour_stamp
 from harvestlens.functions.columns import (cast_columns, drop_columns, keep_columns,
                                            rename_columns, round_doubles)
 from harvestlens.functions.nulls import rowwise_mean
+from harvestlens.operators import blocks
 from harvestlens.operators import dataset as ds
 from harvestlens.operators import soil as so
 from harvestlens.operators.cleaning import (clean_target, drop_null_target, exclude_pairs,
@@ -22,6 +23,7 @@ from harvestlens.operators.cleaning import (clean_target, drop_null_target, excl
                                             region_codes_from_label)
 from harvestlens.operators.impute import impute_three_level, impute_two_level, null_profile
 from harvestlens.operators.mart import build_mart, build_mart_outer
+from harvestlens.operators.quantile import quantile_columns
 from harvestlens.operators.reshape import (attach_sequences, melt_measure, null_safe_join,
                                            production_long, sequences, union_sources)
 from harvestlens.operators.runs import run_ids, rolling_sum, spine_fill
@@ -528,9 +530,8 @@ def _q_ndvi_annual(spark, sf):
                            f"AS p10_rad, median(t) AS median_t FROM ({daily_panel_sql()}) p GROUP BY 1",
                            ["p90_r", "p10_rad", "median_t"], ["DEPT_ID", "p90_r", "p10_rad", "median_t"]))
 def _q_group_quantile(spark, sf):
-    return round_doubles(_daily(spark, sf).groupBy("DEPT_ID").agg(
-        F.percentile("r", F.lit(0.9)).alias("p90_r"), F.percentile("rad", F.lit(0.1)).alias("p10_rad"),
-        F.median("t").alias("median_t")))
+    return round_doubles(quantile_columns(_daily(spark, sf), ["DEPT_ID"], {
+        "p90_r": ("r", 0.9), "p10_rad": ("rad", 0.1), "median_t": ("t", 0.5)}))
 
 
 def _impute2_sql():
@@ -621,6 +622,22 @@ def _q_rolling_sum(spark, sf):
                          .select("DEPT_ID", "day", "roll_r"))
 
 
+@_reg("run_id_blocks", SQL["run_id"])
+def _q_run_id_blocks(spark, sf):
+    """The same runs from blocks of a week."""
+    flor = _daily(spark, sf).filter(F.col("saison") == "floraison").select(
+        "DEPT_ID", "harvest_year", "day", (F.coalesce(F.col("t") > 25, F.lit(False))).cast("int").alias("flag"))
+    return blocks.run_ids(flor, ["DEPT_ID", "harvest_year"], "day", "flag", 7 * blocks.DAY)
+
+
+@_reg("rolling_sum_blocks", SQL["rolling_sum"])
+def _q_rolling_sum_blocks(spark, sf):
+    """The same sums from stretches of ranks, positions from blocks of 30 days."""
+    p = tb.daily_panel(spark, sf).select("DEPT_ID", "day", "r")
+    return round_doubles(blocks.rolling_sum(p, ["DEPT_ID"], "day", "r", 10, "roll_r", ndigits=4, stretch=256)
+                         .select("DEPT_ID", "day", "roll_r"))
+
+
 # ------------------------------------------------------------------ 2.6 sort / limit
 
 @_reg("preview", _r(f"SELECT * FROM ({_training_sql()}) t ORDER BY DEPT_ID, harvest_year LIMIT 10",
