@@ -1010,6 +1010,10 @@ def _hourly_training_sql():
 @_reg("training_mart_hourly", _r(_hourly_training_sql(), STATIC_DOUBLES + _HOURLY_DOUBLES,
                                  STATIC_COLS + _HOURLY_NAMES, 7))
 def _q_training_mart_hourly(spark, sf):
+    return round_doubles(hourly_training_mart(spark, sf), 7)
+
+
+def hourly_training_mart(spark, sf):
     from harvestlens.plans.training import agro_mart_hourly
     # the hourly panel spans harvest years 2023-2025; they stand for the
     # target's 1996-1998 (shift 27) and are filtered on the panel's own years
@@ -1017,10 +1021,9 @@ def _q_training_mart_hourly(spark, sf):
     agro = agro_mart_hourly(_hourly(spark, sf), tb.TESTBED_HOURLY, ["03", "04"],
                             1995 + shift, 1998 + shift, roles=tb.HOURLY_ROLES)
     agro = agro.withColumn("harvest_year", F.col("harvest_year") - F.lit(shift))
-    out = training_static_hourly(_target(spark, sf), tt.soil_layers(spark, sf),
-                                 tt.ndvi_monthly(spark, sf), agro, excluded=["03", "04"],
-                                 min_year_exclusive=1995, max_year=1998, pairs=[("05", 1997)])
-    return round_doubles(out, 7)
+    return training_static_hourly(_target(spark, sf), tt.soil_layers(spark, sf),
+                                  tt.ndvi_monthly(spark, sf), agro, excluded=["03", "04"],
+                                  min_year_exclusive=1995, max_year=1998, pairs=[("05", 1997)])
 
 
 @_reg("sequence_dataset", None)

@@ -32,6 +32,19 @@ NOT_IMPUTED = ("datetime", "DEPT_ID", "saison", "annee", "harvest_year", "heure"
 NOT_FEATURES = ("datetime", "DEPT_ID", "annee", "harvest_year")
 
 
+def hourly_features(panel: DataFrame, excluded: list[str], min_year_exclusive: int, max_year: int,
+                    pairs_dropped: list[tuple[str, int]], time_col: str = "datetime") -> DataFrame:
+    """The hourly panel filtered, imputed on three levels and with cyclic time features."""
+    df = exclude_values(panel, "DEPT_ID", list(excluded))
+    df = exclude_pairs(df, min_year_exclusive=min_year_exclusive, max_year=max_year,
+                       pairs=list(pairs_dropped))
+    df = df.drop(*DROP_BEFORE_IMPUTE).withColumns(date_parts(time_col))
+    measures = [f.name for f in df.schema.fields
+                if f.name not in NOT_IMPUTED and f.dataType.typeName() in ("double", "float",
+                                                                           "integer", "long")]
+    return cyclic_encode(impute_three_level(df, measures), time_col)
+
+
 def sequence_dataset(panel: DataFrame, static: DataFrame, static_features: list[str],
                      length: int = 8760, excluded: list[str] = (), min_year_exclusive: int = 2010,
                      max_year: int = 2024, pairs_dropped: list[tuple[str, int]] = (),
@@ -43,17 +56,10 @@ def sequence_dataset(panel: DataFrame, static: DataFrame, static_features: list[
     (DEPT_ID, harvest_year) with the static features and the ``target``, which is carried
     along as it is. Pairs at or below ``min_year_exclusive`` are dropped; ``max_year``
     bounds the weather only."""
-    df = exclude_values(panel, "DEPT_ID", list(excluded))
-    df = exclude_pairs(df, min_year_exclusive=min_year_exclusive, max_year=max_year,
-                       pairs=list(pairs_dropped))
-    df = df.drop(*DROP_BEFORE_IMPUTE).withColumns(date_parts(time_col))
-    measures = [f.name for f in df.schema.fields
-                if f.name not in NOT_IMPUTED and f.dataType.typeName() in ("double", "float",
-                                                                           "integer", "long")]
-    df = impute_three_level(df, measures)
     # read three times below (sequences, moments): written once to the shared
     # checkpoint folder instead of re-running the imputation windows
-    df = cyclic_encode(df, time_col).checkpoint(eager=True)
+    df = hourly_features(panel, excluded, min_year_exclusive, max_year, pairs_dropped,
+                         time_col).checkpoint(eager=True)
     feats = [c for c in df.columns if c not in NOT_FEATURES]
 
     pairs = (exclude_values(static, "DEPT_ID", list(excluded))
