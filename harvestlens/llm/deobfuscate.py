@@ -120,6 +120,13 @@ class Restorer:
             return token
         return self.best(_lattice(core))
 
+    def words(self, token: str) -> list[str]:
+        """The words of a restored token."""
+        plain = token.rstrip(".,;:?!\"')]}-").lstrip("\"'[{-")
+        if plain.isalpha() and not _LONG_RUN.search(plain):
+            return [plain]
+        return words_in(self.token(token))
+
     def apart(self, run: str) -> str:
         """Single characters written apart, restored to words."""
         steps: list[list[tuple[str, float]]] = []

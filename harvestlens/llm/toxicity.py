@@ -26,7 +26,7 @@ LEAST_TOXIC = 4         # toxic texts that a feature must occur in
 AFFIXES = (4, 5, 6)
 STRONG = 2.0            # evidence from which a word counts as a hit
 CUT = 0.7
-_CACHED = 200_000       # tokens remembered by a worker
+_CACHED = 400_000       # tokens remembered by a worker
 
 
 def character_model(docs: DataFrame) -> bytes:
@@ -34,13 +34,15 @@ def character_model(docs: DataFrame) -> bytes:
 
     def count(batches):
         total = np.zeros(de.CELLS, np.int64)
+        held, size = [], 0
         for batch in batches:
             for text in batch.column(0):
-                cells = de.gram_cells(text.as_py() or "")
-                if len(cells) > de.CELLS // 8:
-                    total += np.bincount(cells, minlength=de.CELLS)
-                else:
-                    np.add.at(total, cells, 1)
+                held.append(text.as_py() or "")
+                size += len(held[-1])
+                if size > 500_000:  # a line feed ends a word, so texts can be counted together
+                    total += np.bincount(de.gram_cells("\n".join(held)), minlength=de.CELLS)
+                    held, size = [], 0
+        total += np.bincount(de.gram_cells("\n".join(held)), minlength=de.CELLS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["cell", "n"])
 
@@ -49,24 +51,29 @@ def character_model(docs: DataFrame) -> bytes:
     return de.log_probabilities(cells["cell"].to_numpy(), cells["n"].to_numpy().astype(float))
 
 
-def text_words(text: str, restorer: de.Restorer, cache: dict[str, list[str]]) -> set[str]:
-    """Distinct words of the restored text, in lower case."""
-    low, found = text.lower(), set()
+def text_words(text: str, restorer: de.Restorer, cache: dict, of) -> dict:
+    """What ``of`` says (word, value pairs) of the distinct words of the restored text, in
+    lower case. ``cache`` keeps what it said of a token."""
+    low, found = text.lower(), {}
     runs = de.APART_LETTERS.findall(low)
     if runs:
         for run in set(runs):
-            found.update(de.words_in(restorer.apart(run)))
+            found.update(of(de.words_in(restorer.apart(run))))
         low = de.APART_LETTERS.sub(" ", low)
     for token in set(low.split()):
-        words = cache.get(token)
-        if words is None:
+        said = cache.get(token)
+        if said is None:
             if len(cache) >= _CACHED:
                 cache.clear()
-            words = cache[token] = de.words_in(restorer.token(token))
-        found.update(words)
+            said = cache[token] = of(restorer.words(token)) or _NOTHING
+        if said is not _NOTHING:
+            found.update(said)
     return found
 
 
+_NOTHING: tuple = ()
+
+
 def features(word: str) -> list[str]:
     """The word, its beginnings and its ends."""
     return [f"^{word}$", *[f"^{word[:k]}" for k in AFFIXES if len(word) > k],
@@ -131,7 +138,8 @@ def fit(docs: DataFrame, labels: DataFrame, characters: bytes) -> dict:
 
         for batch in batches:
             for toxic, text in zip(batch.column(0), batch.column(1)):
-                seen = {f for w in text_words(text.as_py(), restorer, cache) for f in features(w)}
+                seen = {f for w in text_words(text.as_py(), restorer, cache, lambda ws: tuple((w, None) for w in ws))
+                        for f in features(w)}
                 at = 0 if toxic.as_py() else 1
                 for f in seen:
                     found.setdefault(f, [0, 0])[at] += 1
@@ -149,6 +157,10 @@ def fit(docs: DataFrame, labels: DataFrame, characters: bytes) -> dict:
     counts = {r["feature"]: (r["toxic"], r["clean"]) for r in kept.collect()}  # at most MOST_FEATURES
     known = docs.sparkSession.sparkContext.broadcast(counts)
 
+    def counts_of(words):
+        hits = [(w, [known.value[f] for f in features(w) if f in known.value]) for w in words]
+        return tuple(h for h in hits if h[1])
+
     def summaries(batches):
         restorer, cache = de.Restorer(shared.value), {}
         for batch in batches:
@@ -157,9 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, characters: bytes) -> dict:
                 own = (1, 0) if toxic.as_py() else (0, 1)
                 size = toxic_texts - own[0], clean_texts - own[1]
                 best = []
-                for w in text_words(text.as_py(), restorer, cache):
-                    hits = [known.value[f] for f in features(w) if f in known.value]
-                    best.append(max((evidence(max(a - own[0], 0), max(b - own[1], 0), *size) for a, b in hits), default=0.0))
+                for hits in text_words(text.as_py(), restorer, cache, counts_of).values():
+                    best.append(max(evidence(max(a - own[0], 0), max(b - own[1], 0), *size) for a, b in hits))
                 rows.append((toxic.as_py(), *summary(best)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate([pa.int32()] + [pa.float64()] * 3)],
@@ -196,23 +207,24 @@ def toxicity(docs: DataFrame, model: dict, characters: bytes, returned: list[str
 
     def start():
         strength, weights, characters = shared.value
-        restorer, cache, known = de.Restorer(characters), {}, {}
+        restorer, cache = de.Restorer(characters), {}
+
+        # features of a word begin with its first letters or end with its last
+        heads = {f[1:-1 if f[-1] == "$" else None][:AFFIXES[0]] for f in strength if f[0] == "^"}
+        tails = {f[:-1][-AFFIXES[0]:] for f in strength if f[0] != "^"}
 
-        def of(word):
-            s = known.get(word)
-            if s is None:
-                if len(known) >= _CACHED:
-                    known.clear()
-                s = known[word] = max((strength.get(f, 0.0) for f in features(word)), default=0.0)
-            return s
+        def strengths(words):
+            return tuple((w, s) for w in words if (w[:AFFIXES[0]] in heads or w[-AFFIXES[0]:] in tails)
+                         and (s := max((strength[f] for f in features(w) if f in strength), default=0.0)) > 0)
 
         def score(text):
             if not weights:
                 return 0.0, None
-            found = [(of(w), w) for w in text_words(text or "", restorer, cache)]
-            z = sum(a * b for a, b in zip(weights, (1.0, *summary([s for s, _ in found]))))
+            found = text_words(text or "", restorer, cache, strengths)
+            z = sum(a * b for a, b in zip(weights, (1.0, *summary(list(found.values())))))
             # of several words as strong, the greatest
-            return 1 / (1 + math.exp(-min(max(z, -700.0), 700.0))), max((x for x in found if x[0] >= STRONG), default=(0, None))[1]
+            top = max(((s, w) for w, s in found.items() if s >= STRONG), default=(0, None))
+            return 1 / (1 + math.exp(-min(max(z, -700.0), 700.0))), top[1]
 
         return score
 
