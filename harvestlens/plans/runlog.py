@@ -1,10 +1,11 @@
-"""Model run log: parameters, metrics and production pointers as Parquet rows.
-
-A run is one row (run id, model id, time, parameters and metrics as maps,
-feature list, model path). Promotion appends a pointer row; the current
-production run of a model is the latest pointer (``max_by``). Fitted
-pipelines are saved with ``PipelineModel.save`` next to the log. The root is
-a shared folder (by default below ``spark.checkpoint.dir``).
+"""Model run log: parameters, metrics and production pointers.
+
+A run is one Parquet row (run id, model id, time, parameters and metrics as maps, feature
+list, model path). What is newest and what is in production is said by a versioned manifest
+(``sources.versions``): each recorded run and each promotion commits the next version, so
+their order is that of the versions, never of clocks, and of two writers at once both are
+kept, the later version winning. Fitted pipelines are saved with ``PipelineModel.save`` next
+to the log. The root is a shared folder (by default below ``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from harvestlens.operators.dataset import TemporalSplit, lag_baseline, regression_metrics
 from harvestlens.operators.models import fit, predict, ridge_pipeline
+from harvestlens.sources.versions import Manifest
 
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -31,12 +33,6 @@ RUN_SCHEMA = T.StructType([
     T.StructField("features", T.ArrayType(T.StringType())),
     T.StructField("model_path", T.StringType()),
 ])
-POINTER_SCHEMA = T.StructType([
-    T.StructField("model_id", T.StringType()),
-    T.StructField("run_id", T.StringType()),
-    T.StructField("promoted", T.TimestampType()),
-])
-
 # Models that are rules, not fitted pipelines.
 RULE_MODELS = {"lag1"}
 
@@ -55,8 +51,8 @@ class RunLog:
         return f"{self.root}/runs"
 
     @property
-    def pointers_path(self) -> str:
-        return f"{self.root}/production"
+    def manifest(self) -> Manifest:
+        return Manifest(self.spark, f"{self.root}/manifest")
 
     def _read(self, path: str, schema: T.StructType) -> DataFrame:
         try:
@@ -77,22 +73,36 @@ class RunLog:
                {k: str(v) for k, v in params.items()},
                {k: float(v) for k, v in metrics.items()}, list(features), model_path)
         self.spark.createDataFrame([row], RUN_SCHEMA).write.mode("append").parquet(self.runs_path)
+        self._commit("latest", model_id, run_id)
         return run_id
 
+    def _commit(self, pointer: str, model_id: str, run_id: str) -> None:
+        """Set a pointer in the next version; the version itself records what it did."""
+        self.manifest.update(lambda old: {
+            **old, pointer: {**old.get(pointer, {}), model_id: run_id},
+            "event": {"pointer": pointer, "model_id": model_id, "run_id": run_id}})
+
+    def history(self) -> list[dict]:
+        """Every recorded run and promotion in the order of the versions."""
+        found = ((v, self.manifest.read(v)) for v in self.manifest.versions())
+        return [{"version": v, **content["event"]} for v, content in found if content]
+
+    def _pointers(self, pointer: str) -> DataFrame:
+        rows = sorted(self.manifest.current()[1].get(pointer, {}).items())
+        return self.spark.createDataFrame(rows, "model_id string, run_id string")
+
     def latest(self, model_id: str | None = None) -> DataFrame:
-        """Newest run (per model) by creation time."""
-        return (self.runs(model_id).groupBy("model_id")
-                .agg(F.max_by("run_id", "created").alias("run_id"),
-                     F.max("created").alias("created")))
+        """Newest run (per model), the last to be recorded, with its creation time."""
+        newest = self._pointers("latest")
+        if model_id:
+            newest = newest.filter(F.col("model_id") == model_id)
+        return newest.join(self.runs().select("run_id", "created"), "run_id").select("model_id", "run_id", "created")
 
     def promote(self, model_id: str, run_id: str) -> None:
-        row = (model_id, run_id, _dt.datetime.now(_dt.UTC).replace(tzinfo=None))
-        self.spark.createDataFrame([row], POINTER_SCHEMA).write.mode("append").parquet(
-            self.pointers_path)
+        self._commit("production", model_id, run_id)
 
     def production(self) -> DataFrame:
-        return (self._read(self.pointers_path, POINTER_SCHEMA).groupBy("model_id")
-                .agg(F.max_by("run_id", "promoted").alias("run_id")))
+        return self._pointers("production")
 
     def production_run(self, model_id: str) -> str:
         rows = self.production().filter(F.col("model_id") == model_id).collect()
@@ -111,10 +121,10 @@ class RunLog:
     def train_and_register(self, mart: DataFrame, model_id: str, feature_cols: list[str],
                            split: TemporalSplit, target: str = "RENDEMENT",
                            year_col: str = "ANNEE", region: str = "DEPT_ID",
-                           extra_params: dict | None = None) -> str:
+                           extra_params: dict | None = None, run_id: str | None = None) -> str:
         params = {"train_max_year": split.train_max_year, "test_min_year": split.test_min_year,
                   **(extra_params or {})}
-        run_id = f"{model_id}-{uuid.uuid4().hex[:12]}"
+        run_id = run_id or f"{model_id}-{uuid.uuid4().hex[:12]}"
         if model_id in RULE_MODELS:
             scored = lag_baseline(mart, region, year_col, target)
             model_path = None
