@@ -29,7 +29,7 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 SENT_WORDS = 200_000
 SLOT_BITS = 26          # of the membership bitmap (8 MB)
 PER_SHARD = 1 << 19     # occurrences that a shard stands for
-IN_TASK = 1 << 21       # n-grams gathered before they are counted into filters
+IN_TASK = 1 << 20       # n-grams gathered before they are counted into filters
 FLUSH_WORDS, FLUSH_BYTES = 200_000, 48_000_000
 UNKNOWN_LANG = "und"
 
@@ -92,9 +92,12 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 def vocabulary(counts: DataFrame) -> DataFrame:
     """(lang, word, c, id): ids from 1 without gaps."""
-    words = counts.filter("word is not null").withColumn("_cell", F.lit(0))
-    ranked, _ = rank_in_cells(words, "_cell", [F.col("lang"), F.col("word")])
-    return ranked.select("lang", "word", "c", (F.col("_rank") + 1).alias("id"))
+    cells = 64
+    words = counts.filter("word is not null").withColumn("_cell", F.pmod(F.xxhash64("lang", "word"), F.lit(cells)).cast("int"))
+    ranked, sizes = rank_in_cells(words, "_cell", [F.col("lang"), F.col("word")])
+    n = {r["_cell"]: r["_n"] for r in sizes.collect()}  # one row per cell
+    before = F.array(*[F.lit(sum(n.get(c, 0) for c in range(k))).cast("long") for k in range(cells)])
+    return ranked.select("lang", "word", "c", (before[F.col("_cell")] + F.col("_rank") + 1).alias("id"))
 
 
 def _sent(vocab: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
