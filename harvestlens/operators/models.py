@@ -3,8 +3,8 @@
 The reference trains scikit-learn / XGBoost models in one process; here the
 same roles are Spark ML pipelines: imputation (GBT rejects missing values),
 feature assembly, robust scaling, and a ridge or gradient-boosted regressor.
-Hyper-parameter search is a sampled ``ParamGridBuilder`` grid with k-fold
-``CrossValidator`` (folds run in parallel on the cluster).
+Hyper-parameter search (``operators.search``) scores sampled parameter maps over folds whose
+preparation is fitted once, or proposes them by a density-ratio sampler.
 """
 
 from __future__ import annotations
@@ -15,10 +15,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, RobustScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestlens.operators.search import SearchResult, search_maps
+from harvestlens.session import stored
+
 
 def prep_stages(features: list[str], scale: bool = True):
     imputed = [f"__imp_{c}" for c in features]
@@ -82,22 +85,27 @@ def fold_column(df: DataFrame, key_cols: list[str], k: int = 5, seed: int = 42,
     return df.withColumn(col, F.pmod(h, F.lit(k)).cast("int"))
 
 
+def fold_table(train: DataFrame, features: list[str], target: str, key_cols: list[str], k: int = 5,
+               seed: int = 42) -> DataFrame:
+    """The rows with a known target, cast, with their fold; written once."""
+    rows = _cast_features(train, features, target).filter(F.col(target).isNotNull())
+    return stored(fold_column(rows.select(*key_cols, target, *features), key_cols, k, seed), "folds")
+
+
 def random_search(pipeline: Pipeline, estimator, grid: dict, n_draws: int, train: DataFrame,
                   features: list[str], target: str, key_cols: list[str], k: int = 5,
-                  metric: str = "r2", seed: int = 42, parallelism: int = 4):
-    """Sample ``n_draws`` parameter maps of the full grid, score them by
-    k-fold cross-validation, refit the best on all training rows."""
+                  metric: str = "r2", seed: int = 42, parallelism: int = 4) -> SearchResult:
+    """Sample ``n_draws`` parameter maps of the full grid, score them by k-fold
+    cross-validation, refit the best on all training rows. The pipeline's stages before the
+    estimator are fitted once per fold, whatever the number of maps."""
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), values)
-    maps = builder.build()
+    maps = [{p.name: v for p, v in m.items()} for m in builder.build()]
     rng = random.Random(seed)
     if n_draws < len(maps):
         maps = rng.sample(maps, n_draws)
     evaluator = RegressionEvaluator(labelCol=target, predictionCol=estimator.getPredictionCol(),
                                     metricName=metric)
-    data = fold_column(_cast_features(train, features, target).filter(F.col(target).isNotNull()),
-                       key_cols, k, seed).checkpoint(eager=True)
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=evaluator,
-                        foldCol="fold", numFolds=k, parallelism=parallelism, seed=seed)
-    return cv.fit(data)
+    data = fold_table(train, features, target, key_cols, k, seed)
+    return search_maps(pipeline.getStages()[:-1], estimator, maps, data, target, "fold", k, evaluator, parallelism)
