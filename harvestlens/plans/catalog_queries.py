@@ -20,7 +20,7 @@ from harvestlens.operators import dataset as ds
 from harvestlens.operators import soil as so
 from harvestlens.operators.cleaning import (clean_target, drop_null_target, exclude_pairs,
                                             exclude_values, filter_label_contains, holdout_split,
-                                            region_codes_from_label)
+                                            label_weather, region_codes_from_label)
 from harvestlens.operators.impute import impute_three_level, impute_two_level, null_profile
 from harvestlens.operators.mart import build_mart, build_mart_outer
 from harvestlens.operators.quantile import quantile_columns
@@ -30,11 +30,13 @@ from harvestlens.operators.runs import run_ids, rolling_sum, spine_fill
 from harvestlens.plans import catalog_sql as cs
 from harvestlens.plans import testbed as tb
 from harvestlens.plans import testbed_tables as tt
-from harvestlens.plans.sql_oracle import FeatureSQL, daily_panel_sql, hourly_panel_sql, rounded
+from harvestlens.plans.sql_oracle import (SEASON_SQL, FeatureSQL, daily_panel_sql, harvest_year_sql,
+                                          hourly_panel_sql, rounded)
 from harvestlens.plans.training import (annual_weather, join_renamed_key, join_static,
                                         join_suffixed, ndvi_annual, training_mart,
                                         training_mart_annual, training_static_hourly,
                                         weather_daily_clean)
+from harvestlens.session import stored
 from harvestlens.sources.catalog import (Catalog, Dataset, filter_numeric, id_from_path,
                                          promote_header, typed_scan)
 from harvestlens.sources.stations import daily_from_hourly, station_to_region_hourly
@@ -199,6 +201,24 @@ def _q_consolidate(spark, sf):
     return round_doubles(read_consolidated(spark, path))
 
 
+_REGION_COLS = ["DEPT_ID", "day", "harvest_year", "saison", "temp_air_c", "precipitations_1h_mm"]
+
+
+@_reg("scan_region_daily", _r(
+    f"SELECT lpad(dept_id, 2, '0') AS DEPT_ID, day, {harvest_year_sql('day')} AS harvest_year, {SEASON_SQL.format(t='day')} AS saison, "
+    f"temp_air_c, precipitations_1h_mm FROM ({cs.station_daily_sql()}) d WHERE dept_id = '05'",
+    _REGION_COLS[4:], _REGION_COLS))
+def _q_scan_region_daily(spark, sf):
+    """One region's hourly table by name, as a daily panel by its rules, then labelled."""
+    from harvestlens.session import scratch
+    from harvestlens.sources.stations import consolidate
+    path = scratch(spark, "consolidated")
+    consolidate(_stations_hourly(spark, sf), path)
+    cat = Catalog(spark, {"hourly": Dataset(path + "/dept={region}", per_region=True,
+                                            daily=(["temp_air_c"], ["precipitations_1h_mm"]))})
+    return round_doubles(label_weather(cat.read("hourly", region="05"), "day").select(*_REGION_COLS))
+
+
 _STATION_D_COLS = ["dept_id", "day", "temp_air_c", "humidite_relative_pct", "rafale_max_ms",
                    "precipitations_1h_mm", "rayonnement_global_jcm2"]
 
@@ -910,7 +930,8 @@ def _scaled_sql(kind: str) -> str:
 
 def _scaled(kind):
     def run(spark, sf):
-        mart = _training(spark, sf).select("DEPT_ID", "harvest_year", *_SCALE_COLS)
+        # read to fit and to apply: written once
+        mart = stored(_training(spark, sf).select("DEPT_ID", "harvest_year", *_SCALE_COLS), "mart")
         train = mart.filter(F.col("harvest_year") <= 1998)
         if kind == "minmax":
             out = ds.apply_minmax(mart, ds.fit_minmax(train, _SCALE_COLS), _SCALE_COLS)

@@ -1,8 +1,9 @@
 """Named datasets and typed scans.
 
 A ``Catalog`` maps dataset names to a path template, a format, an explicit
-schema or cast map, and optional aggregation rules. Reading an unknown name
-raises ``ValueError``; a per-region dataset needs its ``region`` argument.
+schema or cast map, and optional daily rules (columns to average and to sum).
+Reading an unknown name raises ``ValueError``; a per-region dataset needs its
+``region`` argument.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ class Dataset:
     options: dict[str, str] = field(default_factory=dict)
     date_col: str | None = None             # parsed to DATE when present
     per_region: bool = False
+    # hourly data read as a daily panel: (columns averaged, columns summed)
+    daily: tuple[list[str], list[str]] | None = None
+    region_col: str = "dept_id"
+    time_col: str = "datetime"
 
 
 class Catalog:
@@ -47,7 +52,11 @@ class Catalog:
             if region is None:
                 raise ValueError(f"source {name!r} needs a region argument")
             path = path.format(region=region)
-        return typed_scan(self.spark, path, ds.fmt, ds.schema, ds.casts, ds.options, ds.date_col)
+        df = typed_scan(self.spark, path, ds.fmt, ds.schema, ds.casts, ds.options, ds.date_col)
+        if ds.daily is None:
+            return df
+        from harvestlens.sources.stations import daily_from_hourly
+        return daily_from_hourly(df, *ds.daily, region=ds.region_col, time_col=ds.time_col)
 
 
 def typed_scan(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
@@ -91,17 +100,16 @@ def promote_header(df: DataFrame, header_index: int, order_col: str = "__row_id"
     """Headerless sheet export: row ``header_index`` (0-based, in file order)
     holds the column names; earlier rows are dropped, later rows are data.
 
-    File order comes from ``monotonically_increasing_id`` (increasing with
-    partition and position), written once so that the header's id and the rows'
-    ids are the same numbers. Only the first ``header_index + 1`` rows are
-    brought to the driver (an ordered ``limit``), never the table.
+    File order is the order of partitions and of rows in them, which
+    ``monotonically_increasing_id`` numbers; it is the same each time a file scan runs (store
+    a ``df`` that is not repeatable first). Only the first ``header_index + 1`` rows are read
+    to find the header; the rest is a filter on the row's number.
     """
-    with_id = df.withColumn(order_col, F.monotonically_increasing_id()).checkpoint(eager=True)
-    head = with_id.orderBy(order_col).limit(header_index + 1).collect()
+    with_id = df.withColumn(order_col, F.monotonically_increasing_id())
+    head = with_id.limit(header_index + 1).collect()  # the first rows, in order
     if len(head) <= header_index:
         raise ValueError("sheet has fewer rows than the header position")
     header_row = head[header_index]
-    data_cols = [c for c in df.columns]
-    names = [str(header_row[c]) for c in data_cols]
+    names = [str(header_row[c]) for c in df.columns]
     body = with_id.filter(F.col(order_col) > F.lit(header_row[order_col]))
-    return body.select(*[F.col(c).alias(n) for c, n in zip(data_cols, names)])
+    return body.select(*[F.col(c).alias(n) for c, n in zip(df.columns, names)])
