@@ -55,7 +55,8 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int =
     counts = labelled.filter("lang is not null and text is not null").groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"))
     share = F.expr("shiftrightunsigned(h, 11)") / F.lit(2.0 ** 53)
-    near = rows.join(counts, "lang").filter(share * F.col("n") < 4 * sample_docs + 20)
+    # one row per language, as the model has; so the filter runs before any shuffle
+    near = rows.join(F.broadcast(counts), "lang").filter(share * F.col("n") < 4 * sample_docs + 20)
     by_hash = Window.partitionBy("lang").orderBy("h", "text")
     sample = near.withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= sample_docs)
     texts: dict[str, list[bytes]] = {}

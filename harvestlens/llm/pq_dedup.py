@@ -114,22 +114,18 @@ def _unit(column, dim: int) -> np.ndarray:
     return x / np.sqrt((x ** 2).sum(axis=1, keepdims=True))
 
 
-def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """(rows with h1, h2 where valid, one row per distinct valid vector, dimension)."""
+def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows with h1, h2 where valid, one row per distinct valid vector)."""
     e = F.col("embedding").cast("array<double>")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("v"))
-    usual = (rows.filter("v is not null and size(v) > 0").groupBy(F.size("v").alias("d")).count()
-             .orderBy(F.desc("count"), F.desc("d")).limit(1).collect())
-    dim = usual[0]["d"] if usual else 0
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    valid = (F.col("vec_id").isNotNull() & (F.size("v") == dim) & finite
-             & F.exists("v", lambda x: x != 0))
+    valid = F.col("vec_id").isNotNull() & finite & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("valid", F.coalesce(valid, F.lit(False)))
     rows = rows.withColumn("h1", F.when(F.col("valid"), F.xxhash64("v"))).withColumn(
         "h2", F.when(F.col("valid"), F.xxhash64(F.lit(1), F.reverse("v"))))
     distinct = rows.filter("valid").groupBy("h1", "h2").agg(
         F.min("vec_id").alias("i"), F.count(F.lit(1)).alias("m"), F.any_value("v").alias("v"))
-    return rows.select("vec_id", "h1", "h2"), distinct.select("i", "h1", "h2", "m", "v"), dim
+    return rows.select("vec_id", "h1", "h2"), distinct.select("i", "h1", "h2", "m", "v")
 
 
 def fit(distinct: DataFrame, n: int, dim: int, threshold: float = THRESHOLD, reach: float = REACH,
@@ -264,19 +260,20 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, reach: flo
     """vec_id, n_links (other rows at cosine >= threshold), component_id (smallest vec_id
     reachable by links, its own included) and kept (vec_id = component_id) of every row.
 
-    Vectors that are null, empty, zero or hold null or non-finite components, whose length
-    isn't the table's commonest, or whose vec_id is null link with nothing. Equal vectors
-    link with each other. Rows that repeat a vec_id with different vectors are compared as
+    Vectors that are null, empty, zero or hold null or non-finite components, or whose vec_id
+    is null link with nothing. Vectors of different lengths have no cosine; each length has
+    an index of its own. Equal vectors link with each other. Rows that repeat a vec_id with different vectors are compared as
     rows of their own. Links are exact; with a ``reach`` below 0.5 pairs neither of whose
     ends probes the other's list are missed.
     """
-    rows, distinct, dim = classes(vectors)
+    rows, distinct = classes(vectors)
     distinct = materialize(distinct)
-    n = distinct.count()
-    if n:
-        found = materialize(links(distinct, fit(distinct, n, dim, threshold, reach, sample), threshold, block))
-    else:
-        found = distinct.sparkSession.createDataFrame([], OUT)
+    found = distinct.sparkSession.createDataFrame([], OUT)
+    # one row per length of vectors
+    for r in distinct.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect():
+        same = distinct.filter(F.size("v") == r["dim"])
+        if r["n"] > 1:
+            found = found.union(materialize(links(same, fit(same, r["n"], r["dim"], threshold, reach, sample), threshold, block)))
     count = found.filter("links is not null").groupBy("h1", "h2").agg(F.sum("links").alias("links"))
     edges = found.filter("links is null").select(F.struct("i", "h1", "h2").alias("u"), F.struct(
         F.col("j").alias("i"), F.col("g1").alias("h1"), F.col("g2").alias("h2")).alias("v"))

@@ -182,12 +182,15 @@ def test_packing_round_trip(docs):
 # ---- embeddings
 
 def links_by_hand(rows, threshold=0.9):
-    ok = [k for k, (i, v) in enumerate(rows) if i is not None and v is not None and len(v) == 8
+    ok = [k for k, (i, v) in enumerate(rows) if i is not None and v
           and all(x is not None and math.isfinite(x) for x in v) and any(v)]
-    x = np.array([rows[k][1] for k in ok], dtype=float).reshape(-1, 8)
-    x /= np.abs(x).max(axis=1, keepdims=True)
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    linked = x @ x.T >= threshold
+    linked = np.zeros((len(ok), len(ok)), dtype=bool)
+    for n in {len(rows[k][1]) for k in ok}:  # vectors of different lengths have no cosine
+        at = [j for j, k in enumerate(ok) if len(rows[k][1]) == n]
+        x = np.array([rows[ok[j]][1] for j in at], dtype=float)
+        x /= np.abs(x).max(axis=1, keepdims=True)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        linked[np.ix_(at, at)] = x @ x.T >= threshold
     part = list(range(len(ok)))
     for a, b in itertools.combinations(range(len(ok)), 2):
         if linked[a, b]:
@@ -209,7 +212,8 @@ def test_pq_dedup(spark, block):
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
     rows += [(500, rows[3][1]), (501, rows[3][1]), (502, None), (503, [0.0] * 8), (504, [float("nan")] * 8),
              (505, [None] + [1.0] * 7), (506, [1.0, 2.0]), (None, rows[3][1]), (507, [1e300] * 8), (508, [1e-300] * 8),
-             (509, []), (510, [float("inf")] + [1.0] * 7)]
+             (509, []), (510, [float("inf")] + [1.0] * 7), (511, [2.0, 4.0]), (512, [1.0, 2.1]), (513, [-1.0, 0.5]),
+            (514, [3.0]), (515, [5.0]), (516, [-1.0]), (517, [float(x) for x in vectors[0]] + [0.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     # every list is probed here, so the result must be exact
     got = pq_dedup.near_duplicates(table, reach=100.0, block=block)
