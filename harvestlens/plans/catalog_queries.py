@@ -206,7 +206,8 @@ _REGION_COLS = ["DEPT_ID", "day", "harvest_year", "saison", "temp_air_c", "preci
 
 @_reg("scan_region_daily", _r(
     f"SELECT lpad(dept_id, 2, '0') AS DEPT_ID, day, {harvest_year_sql('day')} AS harvest_year, {SEASON_SQL.format(t='day')} AS saison, "
-    f"temp_air_c, precipitations_1h_mm FROM ({cs.station_daily_sql()}) d WHERE dept_id = '05'",
+    f"temp_air_c, precipitations_1h_mm FROM ({cs.station_daily_sql()}) d "
+    f"WHERE dept_id = (SELECT min(dept_id) FROM ({cs.station_daily_sql()}) x)",
     _REGION_COLS[4:], _REGION_COLS))
 def _q_scan_region_daily(spark, sf):
     """One region's hourly table by name, as a daily panel by its rules, then labelled."""
@@ -216,7 +217,8 @@ def _q_scan_region_daily(spark, sf):
     consolidate(_stations_hourly(spark, sf), path)
     cat = Catalog(spark, {"hourly": Dataset(path + "/dept={region}", per_region=True,
                                             daily=(["temp_air_c"], ["precipitations_1h_mm"]))})
-    return round_doubles(label_weather(cat.read("hourly", region="05"), "day").select(*_REGION_COLS))
+    first = spark.read.parquet(path).agg(F.min("dept_id")).first()[0]
+    return round_doubles(label_weather(cat.read("hourly", region=first), "day").select(*_REGION_COLS))
 
 
 _STATION_D_COLS = ["dept_id", "day", "temp_air_c", "humidite_relative_pct", "rafale_max_ms",
