@@ -1,7 +1,9 @@
 """Training-corpus pipeline: from ``documents`` to packed token sequences.
 
 Every stage works on all that the stage before it kept, written as Parquet in between.
-All stages but the last return the columns of their input.
+All stages but the last return the columns of their input. Nulls, empty and very long texts,
+repeated rows and empty tables are treated as the operators' docstrings say: language ID drops
+null and wordless texts, near-dedup keeps one of repeated rows, an empty table stays empty.
 """
 
 from __future__ import annotations
