@@ -146,7 +146,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID,
     """Place every piece of every document: the columns of ``pieces`` without text_hash,
     sequence_id and offset (long).
 
-    Null and empty texts are the end token alone. Rows that repeat a doc_id are documents
+    Null and empty texts are the end token alone; very long texts are cut into full pieces. Rows that repeat a doc_id are documents
     of their own. Equal pieces take each other's places in arbitrary order. An empty
     table packs into no sequences.
     """

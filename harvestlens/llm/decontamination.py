@@ -125,7 +125,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, slop:
     Null and empty texts have no words; items without words have no window, an item of
     fewer than ``size`` words is one window. An item with null id takes part but has no
     id to list. Repeated benchmark rows count once; repeated documents fare alike. With
-    an empty benchmark nothing is hit.
+    an empty benchmark nothing is hit. Very long texts are one row whose words are exploded;
+    an empty table stays empty.
     """
     matches = benchmark_matches(docs, benchmark, size, slop)
     rows = docs.select(*doc_key(), F.struct("*").alias("doc")).join(matches, KEY, "left")

@@ -103,7 +103,8 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = BITS) -> DataF
     the order of their bytes after their common prefix. Inside a cell the order is that
     of a hash of (doc_id, text checksum, size): ties and repeated rows take consecutive
     or any slots, every row exactly one. Null metadata sorts before all values. With
-    fewer rows than shards some shards stay empty; an empty table gives an empty result.
+    fewer rows than shards some shards stay empty; an empty table gives an empty result. Of a
+    text of any length only its size and checksum are kept.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     meta = materialize(docs.select(

@@ -117,7 +117,8 @@ def identify(docs: DataFrame, model: dict[str, bytes], min_margin: float = MIN_M
     ``und`` where the text is null or has no letter or no language was learned. score is
     2^-best over the sum of 2^-size in bytes. rejected: undetermined, or the margin
     between the two smallest encodings is under ``min_margin``. Rows are independent;
-    repeated rows fare alike and an empty table stays empty.
+    repeated rows fare alike and an empty table stays empty. Very long texts are encoded
+    whole, chunk by chunk.
     """
     learned = tuple(sorted(model.items()))
 

@@ -141,7 +141,8 @@ def score(docs: DataFrame, hot_words: int = HOT_WORDS, vocabulary: str | None =
     Returns doc_id, n_tokens (words and the end), n_known (tokens counted in training),
     train_tokens, base_score (add-one unigram over whole words) and score (lattice), both
     log10 sums. Null and empty texts are the end alone. Repeated rows are each counted
-    and each scored; without training documents all counts are 0.
+    and each scored; without training documents all counts are 0. Very long texts are read
+    whole, word by word; an empty table stays empty.
     """
     vocabulary = vocabulary or vocabulary_path()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "train")

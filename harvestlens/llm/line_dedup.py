@@ -71,7 +71,8 @@ def line_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     no window. Documents of fewer than ``size`` lines and the empty text stay as they are;
     null text stays null with 0 lines. A document all of whose lines go gets the empty
     text. Rows that repeat doc_id and text are one document and fare alike; documents with null
-    doc_id come last in order. Occurrences overlap freely, in one document too.
+    doc_id come last in order. Occurrences overlap freely, in one document too. A very
+    long text is one row, its windows many; an empty table stays empty.
     """
     hits = (repeated_windows(docs, size).groupBy(*KEY)
             .agg(F.sort_array(F.collect_set("pos")).alias("_starts")))

@@ -267,7 +267,7 @@ def dedup(docs: DataFrame, **options) -> DataFrame:
     Exactly one row of every class is kept, the smallest by doc_id (null last), also where
     rows repeat doc_id and text. Null, empty and wordless texts have no shingles and are
     each a class of their own, always kept; texts of fewer than five words have one
-    shingle of all words.
+    shingle of all words. Very long texts are hashed in segments; an empty table stays empty.
     """
     found = near_duplicates(docs, **options).distinct()
     rows = docs.select(*doc_key(), F.col("doc_id").isNull().alias("_n"), F.struct("*").alias("doc"))
