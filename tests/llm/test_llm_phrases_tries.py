@@ -304,3 +304,31 @@ def test_toxicity_held_out(spark):
     got = [r for r in toxicity.op11_toxicity(spark, sf).collect() if r.held_out and r.doc_id in labels]
     right = collections.Counter((labels[r.doc_id], r.predicted) for r in got)
     assert right[1, 1] >= 0.75 * (right[1, 1] + right[1, 0]) and right[0, 0] >= 0.97 * (right[0, 0] + right[0, 1])
+
+
+# ---- segments of long texts
+
+def test_word_hashes_of_long_texts(monkeypatch):
+    """Cut between words anywhere, a text has the same words; one word may be longer than a
+    segment."""
+    from harvestlens.llm import textnum
+    rng = random.Random(4)
+    text = b" ".join(bytes(rng.choices(b"abcz0\xc3\xa9", k=rng.randint(1, 9))) for _ in range(3000))
+    texts = [b"one", text, b"", text + b" " + b"x" * 5000 + b" end", b"  ", text[:700]]
+    whole = textnum.word_hashes(texts)
+    for segment in (64, 1000, 4096):
+        monkeypatch.setattr(textnum, "SEGMENT", segment)
+        hashes, owner = textnum.word_hashes(texts)
+        assert (hashes == whole[0]).all() and (owner == whole[1]).all()
+    assert np.bincount(whole[1], minlength=6).tolist() == [len(re.findall(rb"[0-9a-z\x80-\xff]+", t)) for t in texts]
+
+
+def test_signatures_do_not_depend_on_how_many_run_together():
+    from harvestlens.llm import probminhash_dedup as pm
+    rng = np.random.default_rng(2)
+    element = rng.integers(0, 1 << 63, 4000).astype(np.uint64)
+    owner = np.sort(rng.integers(0, 5, 4000))
+    weight = rng.random(4000) + 0.1
+    want = pm.signatures(element, owner, weight, 5, 64)
+    for at_once in (1, 37, 1000):
+        assert (pm.signatures(element, owner, weight, 5, 64, at_once) == want).all()
