@@ -61,12 +61,12 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     the cost does not depend on the number of words. Long texts are cut between words, so
     that the sums' tables stay small."""
     found = [(np.empty(0, U), np.empty(0, np.int64))]
-    for low, high in groups([len(t) for t in texts]):
+    for low, high in groups([len(t) for t in texts], SEGMENT):
         part = texts[low:high]
-        if sum(map(len, part)) + len(part) <= SEGMENT:
+        if len(part) > 1 or len(part[0]) < SEGMENT:
             h, who = _word_hashes(part)
             found.append((h, who + low))
-        else:  # one text
+        else:
             found.extend((h, np.full(len(h), low, np.int64)) for h in map(_segment_hashes, _segments(part[0])))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
