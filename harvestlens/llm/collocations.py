@@ -29,8 +29,9 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 SENT_WORDS = 200_000
 SLOT_BITS = 26          # of the membership bitmap (8 MB)
 PER_SHARD = 1 << 19     # occurrences that a shard stands for
-IN_TASK = 1 << 20       # n-grams gathered before they are counted into filters
-FLUSH_WORDS, FLUSH_BYTES = 200_000, 48_000_000
+AT_ONCE = 1 << 18       # n-grams permuted at once
+IN_TASK = 1 << 19       # distinct n-grams that a task holds before it sends its filters
+FLUSH_WORDS, FLUSH_BYTES = 100_000, 24_000_000
 UNKNOWN_LANG = "und"
 
 # A-Z to lower case, the piece separators to line feeds, tab to blank
@@ -207,8 +208,8 @@ def frequent_grams(coded: DataFrame, size: int, bits: int, shard_bits: int, like
         for batch in batches:
             col = batch.column(0)
             v = np.asarray(col.flatten())
-            for a in range(0, max(len(v) - size + 1, 0), IN_TASK):  # every text ends in a 0
-                part = v[a:a + IN_TASK + size - 1]
+            for a in range(0, max(len(v) - size + 1, 0), AT_ONCE):  # every text ends in a 0
+                part = v[a:a + AT_ONCE + size - 1]
                 at = starts(part)
                 lanes, counts = qf.summed(qf.permute([x[at] for x in _grams(part, size)], bits), None, w)
                 held.append((lanes, counts))
