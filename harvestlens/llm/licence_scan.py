@@ -1,12 +1,13 @@
 """Operator 9: licence scan by a positional index of rare words.
 
 1. Document frequencies of all template words over the whole corpus give their IDF.
-2. The index holds the positions of each template's rarest words among those that occur in
-   the corpus, and of the two rarest of each mandatory key phrase, so that a file in which
-   the phrases stand always becomes a candidate. Every index word of a file is looked up in it; file position minus template position is where the template
-   would begin, and words that agree on it make a candidate.
-3. A candidate counts once its template's mandatory key phrases stand where the alignment
-   puts them. Phrases of the base list are counted wherever they stand.
+2. A template counts only where its mandatory key phrases stand, so the index holds the
+   positions of the rarest words of each key phrase. A phrase with a word that no document
+   holds stands nowhere, and its template is left out. Every index word of a file is looked
+   up; file position minus template position is where the template would begin, and words
+   that agree on it make a candidate.
+3. A candidate counts once its template's key phrases stand where the alignment puts them.
+   Only then is the text compared. Phrases of the base list are counted wherever they stand.
 
 Templates, index and frequencies are bounded by the template list; each file is scanned
 where it lies, so nothing but one narrow row per file leaves a task.
@@ -26,8 +27,7 @@ from pyspark.sql import functions as F
 from .common import map_arrow, read_table
 from .licence_templates import BASE_PHRASES, TEMPLATES
 
-RARE_PER_TEMPLATE = 8   # index words of a template
-RARE_PER_PHRASE = 2     # and of each of its key phrases
+RARE_PER_PHRASE = 2     # index words of a key phrase
 SLACK = 8               # words by which a key phrase may be off its place
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -42,27 +42,35 @@ class Index:
     """The template side, the same in every task: built from the templates and the IDF."""
 
     def __init__(self, frequencies: dict[bytes, int], n_docs: int, templates=TEMPLATES,
-                 phrases=BASE_PHRASES, rare: int = RARE_PER_TEMPLATE):
+                 phrases=BASE_PHRASES, rare: int = RARE_PER_PHRASE):
         self.idf = lambda w: math.log((n_docs + 1) / (frequencies.get(w, 0) + 1))
-        self.templates = [(label, words_of(text), [words_of(p) for p in keys])
-                          for label, text, keys in templates]
+        # (label, words, [(key phrase, its place)])
+        self.templates = []
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         self.indexed = []
-        def rarest(ws: list[bytes], k: int) -> list[bytes]:
-            # a word that no document holds can't be looked up
-            return sorted({w for w in ws if frequencies.get(w)}, key=lambda w: (-self.idf(w), w))[:k]
-
-        for t, (_, ws, keys) in enumerate(self.templates):
-            best = set(rarest(ws, rare)).union(*(rarest(k, RARE_PER_PHRASE) for k in keys))
-            self.indexed.append(len(best))
-            for at, w in enumerate(ws):
-                if w in best:
-                    self.postings[w].append((t, at))
+        for label, text, keys in templates:
+            ws, t = words_of(text), len(self.templates)
+            placed = [(k, _place(ws, k)) for k in map(words_of, keys)]
+            self.templates.append((label, ws, placed))
+            places = set()
+            if all(frequencies.get(w) for k, _ in placed for w in k):
+                for k, at in placed:
+                    best = sorted(set(k), key=lambda w: (-self.idf(w), w))[:rare]
+                    places.update(at + j for j, w in enumerate(k) if w in best)
+            self.indexed.append(len(places))
+            for at in sorted(places):
+                self.postings[ws[at]].append((t, at))
         self.phrases = [(words_of(p), label) for p, label in phrases.items()]
         self.heads = {p[0] for p, _ in self.phrases}
         self.look = frozenset(self.heads) | frozenset(self.postings)
 
 
+def _place(ws: list[bytes], phrase: list[bytes]) -> int:
+    """First place of a key phrase in its template."""
+    k = len(phrase)
+    return next(i for i in range(len(ws) - k + 1) if ws[i:i + k] == phrase)
+
+
 def _stands(ws: list[bytes], phrase: list[bytes], near: int, slack: int) -> bool:
     k = len(phrase)
     return any(ws[i:i + k] == phrase for i in range(max(0, near - slack), min(len(ws) - k, near + slack) + 1))
@@ -70,10 +78,12 @@ def _stands(ws: list[bytes], phrase: list[bytes], near: int, slack: int) -> bool
 
 def scan(ws: list[bytes], index: Index, slack: int = SLACK) -> tuple:
     """(n_base, first_word, last_word, base labels, all labels, score) of one file."""
-    look = index.look
+    held = index.look.intersection(ws)
+    if not held:
+        return 0, None, None, "", "", 0.0
     places = defaultdict(list)
     for i, w in enumerate(ws):
-        if w in look:
+        if w in held:
             places[w].append(i)
     base = [(i, label) for p, label in index.phrases for i in places.get(p[0], ())
             if ws[i:i + len(p)] == p]
@@ -89,7 +99,7 @@ def scan(ws: list[bytes], index: Index, slack: int = SLACK) -> tuple:
         label, tw, keys = index.templates[t]
         if n < min(2, index.indexed[t]):
             continue
-        if all(_stands(ws, k, start + tw.index(k[0]), slack + len(tw) // 4) for k in keys):
+        if all(_stands(ws, k, start + at, slack + len(tw) // 4) for k, at in keys):
             more.add(label)
             inside = sum(0 <= start + j < len(ws) and ws[start + j] == w for j, w in enumerate(tw))
             score = max(score, 0.5 + 0.5 * inside / len(tw))
@@ -135,8 +145,9 @@ def licence_scan(docs: DataFrame) -> DataFrame:
     those of verified templates), score (0 nothing, 0.5 a base phrase, up to 1 with the
     share of an aligned template that the file repeats).
 
-    Null and empty texts have no words, no labels and score 0. Rows are independent of
-    each other but for the IDF; repeated rows fare alike, an empty table stays empty.
+    Null and empty texts have no words, no labels and score 0; very long texts are read
+    whole. Rows are independent of each other but for the IDF; repeated rows fare alike, an
+    empty table stays empty.
     """
     frequencies, n_docs = corpus_frequencies(docs)
     key = tuple(sorted(frequencies.items()))
