@@ -214,7 +214,7 @@ def links(distinct: DataFrame, quantiser: Quantiser, threshold: float = THRESHOL
           block: int = BLOCK) -> DataFrame:
     """Rows of ``OUT``: per block either (node, links) or (node, connected node)."""
     def index(batches):
-        for batch in batches:
+        for batch in (b.slice(k, 2048) for b in batches for k in range(0, b.num_rows, 2048)):
             x = _unit(batch.column("v"), quantiser.dim)
             own, codes, error = quantiser.index(x)
             found = np.packbits(quantiser.probes(x, own), axis=1)
@@ -229,7 +229,8 @@ def links(distinct: DataFrame, quantiser: Quantiser, threshold: float = THRESHOL
     lists = len(quantiser.centre)
 
     def spread(batches):
-        for batch in batches:
+        # a row goes out once per list it probes: few rows at a time
+        for batch in (b.slice(k, 256) for b in batches for k in range(0, b.num_rows, 256)):
             bits = np.frombuffer(b"".join(batch.column("probes").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
             row, at = np.nonzero(np.unpackbits(bits, axis=1)[:, :lists])
             take = batch.select(["i", "h1", "h2", "m", "v", "own"]).take(pa.array(row))
