@@ -14,7 +14,7 @@ import unicodedata
 from array import array
 from functools import lru_cache
 
-CACHE_RUNS, CACHE_WORDS = 800_000, 400_000  # bounds of the per-process tables (200 MB)
+CACHE_RUNS = 800_000  # bound of each of the two per-process tables of runs and words (150 MB)
 
 # Printable ASCII, tab, newlines and the Latin letters to U+024F: composed already under
 # NFC, and stable across Unicode versions. A text counts as plain if its lower-cased form,
@@ -52,8 +52,11 @@ class WordBpe:
         # strings in a text that the tokenizer takes for special tokens
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.words: dict[str, bytes] = {}
+        # runs of non-blank characters and words: a word is cut from itself whole, so one
+        # table serves both. A full one becomes the older one, from which what still occurs
+        # is taken over.
         self.runs: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
         self.model = self.tokenizer.model
         self.byte_chars = str.maketrans(_byte_chars())
@@ -73,26 +76,24 @@ class WordBpe:
             return self._encode_text(text)
         runs = low.split()
         known = self.runs
-        try:
-            return b"".join(map(known.__getitem__, runs))
-        except KeyError:
-            new = {r for r in runs if r not in known}
+        new = set(runs).difference(known)
+        if new:
             if len(known) + len(new) > CACHE_RUNS:
-                known.clear()
-                new = set(runs)
-            self._learn(new)
-            return b"".join(map(known.__getitem__, runs))
+                self.older, self.runs = known, {}
+                known, new = self.runs, set(runs)
+            older = self.older
+            known.update([(r, older[r]) for r in new if r in older])
+            self._learn(new.difference(known))
+        return b"".join(map(known.__getitem__, runs))
 
     def _learn(self, runs: set[str]) -> None:
-        words = self.words
-        cut = {r: _WORD.findall(r) for r in runs}
-        new = list({w for ws in cut.values() for w in ws if w not in words})
-        if len(words) + len(new) > CACHE_WORDS:
-            words.clear()
-            new = list({w for ws in cut.values() for w in ws})
-        words.update((w, self._encode_word(w)) for w in new)
+        known, older, encode = self.runs, self.older, self._encode_word
+        cut = {r: _WORD.findall(r) for r in runs if not r.isalpha()}
+        # runs of letters are words already
+        new = {w for ws in cut.values() for w in ws if w not in known}.union(runs.difference(cut))
+        known.update([(w, older.get(w) or encode(w)) for w in new])
         for r, ws in cut.items():
-            self.runs[r] = b"".join([words[w] for w in ws])
+            known[r] = b"".join([known[w] for w in ws])
 
 
 @lru_cache(maxsize=2)
