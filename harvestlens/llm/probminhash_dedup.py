@@ -11,7 +11,8 @@
    not join into one component, classes of different components are compared by
    signature, block by block, and the pairs that come near are verified too: where they
    are many, first each class's nearest, as long as that joins components, then all that
-   are left. A large group of copies thus costs pairs in proportion to its size.
+   are left. A large group of copies thus costs pairs in proportion to its size. A round
+   reads only the buckets that the one before left split.
 4. Verified links (Jaccard of the shingle sets at or above the threshold) are closed to
    components; the smallest document of each stays.
 """
@@ -32,7 +33,7 @@ from .textnum import U, groups, mix, sequence_hash, shingles, word_hashes
 BANDS, ROWS = 32, 6
 WIDTH, THRESHOLD = 5, 0.8
 BLOCK = 512
-PAIRS_PER_NODE = 4.0  # above that, a round verifies the nearest pairs first
+PAIRS_PER_NODE = 32.0  # above that, a round verifies the nearest pairs first
 BROADCAST_ROWS = 1_000_000
 
 
@@ -165,9 +166,10 @@ def _near_in_length(a: Column, b: Column, threshold: float) -> Column:
 
 def _cross_pairs(rows: DataFrame, threshold: float, m: int, per_node: float, block: int = BLOCK) -> DataFrame:
     """Pairs of nodes of one bucket but different components that come near by signature;
-    a pair that meets in several bands is told by the first of them. Where two blocks have
-    more than ``per_node`` times their nodes, only those that are the nearest to one of the
-    two, and a pair of nulls to say that there are others.
+    a pair that meets in several bands is told by the first of them, with the components
+    (cu, cv). Where two blocks have more than their share of ``per_node`` pairs to each of
+    the bucket's nodes, only those that are the nearest to one of the two, and a pair of
+    nulls to say that there are others.
 
     rows: band, key, c (rows of the bucket), node, comp, size, sig, bands. A bucket is cut
     into blocks by the node's hash, and every two blocks meet in one task: bounded memory
@@ -178,11 +180,12 @@ def _cross_pairs(rows: DataFrame, threshold: float, m: int, per_node: float, blo
     # block b meets every block: it is sent to the pairs (b, x) and (x, b)
     spread = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "band", "key", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"),
-        (F.col("b") <= F.col("x")).alias("left"), "node", F.xxhash64("comp").alias("comp"), "size", "sig", "bands")
+        (F.col("b") <= F.col("x")).alias("left"), "parts", "node", "comp", F.xxhash64("comp").alias("h"),
+        "size", "sig", "bands")
 
     def run(table: pa.Table) -> pa.Table:
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), dtype=np.uint8).reshape(-1, m)
-        comp = table["comp"].to_numpy()
+        comp = table["h"].to_numpy()
         size = table["size"].to_numpy()
         keys = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(sig), -1)
         keys = keys[:, :table["band"][0].as_py()]  # those of the bands before
@@ -197,7 +200,7 @@ def _cross_pairs(rows: DataFrame, threshold: float, m: int, per_node: float, blo
             if len(on):
                 match[row, on] = (sig[right[on]] == sig[a]).mean(axis=1)
         near = match >= floor
-        others = bool(near.sum() > per_node * len(sig))
+        others = bool(near.sum() > per_node * len(sig) / table["parts"][0].as_py())
         if others:
             nearest = np.zeros_like(near)
             nearest[np.arange(len(left)), match.argmax(axis=1)] = True
@@ -206,13 +209,31 @@ def _cross_pairs(rows: DataFrame, threshold: float, m: int, per_node: float, blo
         at_left, at_right = np.nonzero(near)
         us = pa.array([*left[at_left].tolist(), *[None] * others], pa.int64())
         vs = pa.array([*right[at_right].tolist(), *[None] * others], pa.int64())
-        node = table["node"].combine_chunks()
-        return pa.table({"u": node.take(us), "v": node.take(vs)})
+        node, place = table["node"].combine_chunks(), table["comp"].combine_chunks()
+        return pa.table({"u": node.take(us), "v": node.take(vs), "cu": place.take(us), "cv": place.take(vs)})
 
     ship(rows.sparkSession)
     kind = rows.schema["node"].dataType.simpleString()
-    return (spread.groupBy("band", "key", "i", "j").applyInArrow(run, f"u {kind}, v {kind}")
-            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    first = F.col("u") < F.col("v")
+    return (spread.groupBy("band", "key", "i", "j").applyInArrow(run, f"u {kind}, v {kind}, cu {kind}, cv {kind}")
+            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"),
+                    F.when(first, F.col("cu")).otherwise(F.col("cv")).alias("cu"),
+                    F.when(first, F.col("cv")).otherwise(F.col("cu")).alias("cv")).distinct())
+
+
+def _still_split(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that lie in several components."""
+    split = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+             .filter("lo != hi").select("band", "key"))
+    return placed.join(split, ["band", "key"])
+
+
+def _merged(df: DataFrame, comp: str, merged: DataFrame | None) -> DataFrame:
+    """``df`` with the components of its column ``comp`` replaced by those they went into."""
+    if merged is None:
+        return df
+    into = merged.select(F.col("node").alias(comp), F.col("component").alias("into"))
+    return df.join(into, comp, "left").withColumn(comp, F.coalesce("into", comp)).drop("into")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH,
@@ -231,33 +252,38 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
                        .filter(_near_in_length(F.col("size"), F.col("p.size"), threshold))
                        .select(F.col("p.node").alias("u"), F.col("node").alias("v")).distinct())
     links = materialize(verified(docs, star, threshold, width))
-    tried, links = star, links.select("u", "v")
-    comps = materialize(components(links))
+    comps = materialize(components(links.select("u", "v")))
+    # every member meets its component once; the rounds go on with the buckets that are
+    # still split and with links between components
+    placed = materialize(members.join(comps, "node", "left").select(
+        "node", "band", "key", "c", "size", F.coalesce("component", "node").alias("comp")))
+    open_rows = materialize(_still_split(placed).join(contents.select("node", "sig", "bands"), "node"))
+    tried, bridges, merged = star, None, None
     per_node = PAIRS_PER_NODE
     while True:
-        # buckets still in several components
-        placed = (members.join(comps, "node", "left")
-                  .withColumn("comp", F.coalesce("component", "node")).drop("p", "component"))
-        split = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .filter("lo != hi").select("band", "key"))
-        open_rows = placed.join(split, ["band", "key"]).join(contents.select("node", "sig", "bands"), "node")
         found = materialize(_cross_pairs(open_rows, threshold, bands * rows, per_node)  # u < v, as in star
                             .join(tried, ["u", "v"], "left_anti"))
-        others, more = not found.filter("u is null").isEmpty(), found.filter("u is not null")
-        new = None if more.isEmpty() else materialize(verified(docs, more, threshold, width).select("u", "v"))
-        joined = new is not None and not new.isEmpty()
+        told = found.agg(F.count("u").alias("more"), F.count(F.lit(1)).alias("n")).first()
+        others, more = told["n"] > told["more"], found.filter("u is not null")
+        joined = False
+        if told["more"]:
+            linked = verified(docs, more.select("u", "v"), threshold, width).select("u", "v")
+            new = materialize(more.join(linked, ["u", "v"], "left_semi").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
+            joined = not new.isEmpty()
+            tried = tried.union(more.select("u", "v"))
         if joined:
-            links = links.union(new)
-            comps = materialize(components(links))
+            bridges = new if bridges is None else bridges.union(new)
+            merged = materialize(components(bridges))
         if not others:
             break
-        if not joined:
+        if joined:
+            open_rows = materialize(_still_split(_merged(open_rows, "comp", materialize(components(new)))))
+        else:
             per_node = math.inf  # the nearest join nothing any more: all that are left
-        tried = tried if new is None else tried.union(more)
-    return (sig.select(*KEY, "_n", "c1", "c2", "size").join(contents.select("c1", "c2", "node"), ["c1", "c2"])
-            .join(comps, "node", "left")
-            .select("_n", *KEY, "node", F.coalesce("component", "node").alias("class_node"),
-                    F.col("size").alias("n_shingles")))
+    placed = sig.select(*KEY, "_n", "c1", "c2", "size").join(contents.select("c1", "c2", "node"), ["c1", "c2"]).join(
+        comps, "node", "left").withColumn("class_node", F.coalesce("component", "node"))
+    return _merged(placed, "class_node", merged).select(
+        "_n", *KEY, "node", "class_node", F.col("size").alias("n_shingles"))
 
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
