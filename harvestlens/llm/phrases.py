@@ -7,7 +7,7 @@ import numpy as np
 from .textnum import U, _powers, mix
 
 GRAM = 12             # bytes of the rolling hash
-SEGMENT = 1 << 20     # starts handled at once; bounds the memory of very long texts
+SEGMENT = 1 << 18     # starts handled at once; bounds the memory of a task, also for very long texts
 
 # Bases of the two polynomials (odd, so they have inverses modulo 2^64).
 _BASES = (0x2545F4914F6CDD1D, 0xD6E8FEB86659FD93)

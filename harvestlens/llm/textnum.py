@@ -31,8 +31,8 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(base: int, n: int) -> np.ndarray:
     if n > KEPT:  # a single word of that length
         return _power_table(base, n)
-    if len(_POWERS.get(base, ())) < n:
-        _POWERS[base] = _power_table(base, 1 << (n - 1).bit_length())
+    if base not in _POWERS or len(_POWERS[base]) < n:  # also for no bytes at all
+        _POWERS[base] = _power_table(base, 1 << max(n - 1, 0).bit_length())
     return _POWERS[base][:n]
 
 

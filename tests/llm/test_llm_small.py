@@ -173,6 +173,18 @@ def test_word_ids_are_the_tokenizers():
         assert np.frombuffer(own.ids(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, x
 
 
+def test_word_ids_survive_a_full_table(monkeypatch):
+    from harvestlens.llm import word_bpe
+    own = word_bpe.WordBpe(best_fit_packing.vocabulary_path())
+    monkeypatch.setattr(word_bpe, "CACHE_RUNS", 4)
+    encoded, encode = [], own._encode_word
+    monkeypatch.setattr(own, "_encode_word", lambda w: encoded.append(w) or encode(w))
+    for i in range(20):
+        text = f"often u{'abcdefghijklmnopqrst'[i]} often, seen"
+        assert np.frombuffer(own.ids(text), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert max(collections.Counter(encoded).values()) == 1 and len(own.runs) + len(own.older) < 20
+
+
 def test_packing_round_trip(docs):
     rows = best_fit_packing.pack(docs, with_ids=True).toPandas()
     for r in rows.itertuples():
@@ -334,6 +346,31 @@ def test_near_duplicates_in_a_large_group(spark, monkeypatch, per_node):
     assert got == {d: c for d, c, _ in jaccard_classes(rows)}
 
 
+def test_near_duplicates_rounds_read_what_is_still_split(spark, monkeypatch):
+    """A round is given a stored table of open buckets, smaller from round to round, not the
+    join of all bucket members with their components."""
+    seen, cross = [], probminhash_dedup._cross_pairs
+
+    def watched(rows, *rest):
+        seen.append((rows._jdf.queryExecution().optimizedPlan().toString().count("Join"), rows.count()))
+        return cross(rows, *rest)
+
+    monkeypatch.setattr(probminhash_dedup, "PAIRS_PER_NODE", 0.02)
+    monkeypatch.setattr(probminhash_dedup, "_cross_pairs", watched)
+    rng = random.Random(4)
+    base = prose(50, 120).split()
+    rows = []
+    for i in range(80):
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(len(w))] = f"w{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    got = probminhash_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("doc.doc_id", "class_id")
+    assert {r.doc_id: r.class_id for r in got.collect()} == {d: c for d, c, _ in jaccard_classes(rows)}
+    assert seen and not any(joins for joins, _ in seen)
+    assert [n for _, n in seen] == sorted((n for _, n in seen), reverse=True)
+
+
 def test_near_duplicates_with_uneven_repetition(spark):
     """One of two copies repeats a line or a footer many times: the plain Jaccard stays."""
     rows = []
@@ -683,3 +720,21 @@ def test_rank_in_cells_with_a_hot_cell(spark):
         by[r.cell].append(r._rank)
     for r in counts.collect():
         assert sorted(by[r.cell]) == list(range(r._n))
+
+
+def test_parsing_holds_little_at_once(monkeypatch):
+    """Many texts are parsed in groups whose tables stay small; no bytes at all are no error."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from harvestlens.llm import phrases, textnum
+    monkeypatch.setattr(textnum, "_POWERS", {})
+    assert len(phrases.Hashes(np.empty(0, np.uint8), 0).total) == 1
+    column = pa.array([prose(i, 2000) for i in range(400)])
+    tracemalloc.start()
+    for _, offsets, data, _ in substring_dedup._segments(column, 200):
+        phrases.parse(data, offsets, 200, 150)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert column.nbytes > 4 << 20 and peak < 50 << 20, peak
