@@ -11,6 +11,7 @@ takes the place of its earlier self. Repeated header lines inside a file are dro
 from __future__ import annotations
 
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,18 +41,25 @@ class StationIngest:
 
     # ---------------------------------------------------------- deliveries
 
-    def fingerprints(self, path: str) -> dict[str, str]:
-        """{file name: lines and sum of their hashes} of a delivery; one row per file."""
+    def _delivered(self, path: str) -> dict[str, tuple[str, list[str]]]:
+        """{file name: (lines and sum of their hashes, paths)} of a delivery; one row per file."""
         lines = self.spark.read.option("recursiveFileLookup", "true").text(path)
         name = id_from_path(self.file_pattern)
-        found = lines.select(name.alias("file"), F.xxhash64("value").cast("decimal(20,0)").alias("h")).groupBy("file").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("h").alias("h"))
-        return {r["file"]: f"{r['n']}:{r['h']}" for r in found.collect()}
+        found = lines.select(name.alias("file"), F.input_file_name().alias("path"),
+                             F.xxhash64("value").cast("decimal(20,0)").alias("h")).groupBy("file", "path").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("h").alias("h")).groupBy("file").agg(
+            F.sum("n").alias("n"), F.sum("h").alias("h"), F.sort_array(F.collect_list("path")).alias("paths"))
+        return {r["file"]: (f"{r['n']}:{r['h']}", [unquote(p) for p in r["paths"]]) for r in found.collect()}
+
+    def fingerprints(self, path: str) -> dict[str, str]:
+        """{file name: lines and sum of their hashes} of a delivery."""
+        return {f: mark for f, (mark, _) in self._delivered(path).items()}
 
-    def _readings(self, path: str, files: list[str]) -> DataFrame:
-        """Raw rows of some of a delivery's files, typed and renamed, with file and region."""
+    def _readings(self, paths: list[str], files: list[str]) -> DataFrame:
+        """Raw rows of some of a delivery's files, typed and renamed, with file and region;
+        only these files are read."""
         raw = (self.spark.read.option("header", "true").option("recursiveFileLookup", "true")
-               .option("enforceSchema", "false").csv(path)
+               .option("enforceSchema", "false").csv(paths)
                .select("*", id_from_path(self.file_pattern).alias("__file"), id_from_path(self.region_pattern).alias("__region"))
                .filter(F.col("__file").isin(files)))
         df = filter_numeric(raw, self.check_col)
@@ -62,12 +70,13 @@ class StationIngest:
     def deliver(self, path: str) -> list[str]:
         """Take up a delivery; returns the files that were new or changed. A file delivered by
         someone else meanwhile is not counted twice: the manifest decides."""
-        seen = self.fingerprints(path)
+        delivered = self._delivered(path)
+        seen = {f: mark for f, (mark, _) in delivered.items()}
         known = self.manifest.current()[1].get("files", {})
         new = sorted(f for f, mark in seen.items() if known.get(f, {}).get("mark") != mark)
         if not new:
             return []
-        rows = self._readings(path, new)
+        rows = self._readings([p for f in new for p in delivered[f][1]], new)
         measures = [c for c in rows.columns if c not in STATION_ID_COLS and not c.startswith("__")]
         value = {c: F.nanvl(F.col(c).try_cast("double"), F.lit(None)) for c in measures}
         delivery = uuid.uuid4().hex

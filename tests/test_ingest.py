@@ -159,3 +159,22 @@ def test_steps_lie_in_order(spark, tmp_path):
     assert all(f == sorted(f) for f in files.values())
     whole = [k[:2] for f in files.values() for k in dict.fromkeys(x[:2] for x in f)]
     assert len(whole) == len(set(whole))  # no pair in two files
+
+
+def test_known_files_are_not_read_again(spark, tmp_path, monkeypatch):
+    """Of a delivery only the files that are new or changed are parsed."""
+    from harvestlens.sources.ingest import StationIngest
+
+    def put(folder, region, t):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / f"dept_{region}.csv").write_text(
+            f"NUM_POSTE,LAT,LON,ALTI,AAAAMMJJHH,T\n1,1.0,2.0,10,1998010103,{t}\n")
+
+    put("one a", "01", 5), put("one a", "02", 6), put("two b", "01", 5), put("two b", "03", 7)
+    ingest, read = StationIngest(spark, str(tmp_path / "state")), []
+    readings = ingest._readings
+    monkeypatch.setattr(ingest, "_readings", lambda paths, files: read.append(paths) or readings(paths, files))
+    assert ingest.deliver(str(tmp_path / "one a")) == ["dept_01.csv", "dept_02.csv"]
+    assert ingest.deliver(str(tmp_path / "two b")) == ["dept_03.csv"]
+    assert [[p.rsplit("/", 1)[1] for p in paths] for paths in read] == [["dept_01.csv", "dept_02.csv"], ["dept_03.csv"]]
+    assert sorted((r.dept_id, r.temp_air_c) for r in ingest.hourly().collect()) == [("01", 5.0), ("02", 6.0), ("03", 7.0)]
