@@ -9,10 +9,11 @@
 2. Documents of equal words form one class; classes meet in buckets of equal bands.
 3. Every class is verified against its bucket's smallest member. In buckets that this does
    not join into one component, classes of different components are compared by
-   signature, block by block, and the pairs that come near are verified too: where they
-   are many, first each class's nearest, as long as that joins components, then all that
-   are left. A large group of copies thus costs pairs in proportion to its size. A round
-   reads only the buckets that the one before left split.
+   signature, block by block. Those that come near to another meet once more with their
+   shingle sets, and are verified where two blocks meet: a pair never becomes a row, two
+   blocks tell at most one link for each component they join. Where near pairs are many,
+   first each class's nearest are verified, as long as that joins many, then all that are
+   left. A round reads only the buckets that the one before left split.
 4. Verified links (Jaccard of the shingle sets at or above the threshold) are closed to
    components; the smallest document of each stays.
 """
@@ -33,6 +34,7 @@ from .textnum import U, groups, mix, sequence_hash, shingles, word_hashes
 BANDS, ROWS = 32, 6
 WIDTH, THRESHOLD = 5, 0.8
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20  # about as many shingles of a bucket go into one block
 PAIRS_PER_NODE = 32.0  # above that, a round verifies the nearest pairs first
 BROADCAST_ROWS = 1_000_000
 
@@ -164,68 +166,120 @@ def _near_in_length(a: Column, b: Column, threshold: float) -> Column:
     return F.least(a, b) >= threshold * F.greatest(a, b)
 
 
-def _cross_pairs(rows: DataFrame, threshold: float, m: int, per_node: float, block: int = BLOCK) -> DataFrame:
-    """Pairs of nodes of one bucket but different components that come near by signature;
-    a pair that meets in several bands is told by the first of them, with the components
-    (cu, cv). Where two blocks have more than their share of ``per_node`` pairs to each of
-    the bucket's nodes, only those that are the nearest to one of the two, and a pair of
-    nulls to say that there are others.
-
-    rows: band, key, c (rows of the bucket), node, comp, size, sig, bands. A bucket is cut
-    into blocks by the node's hash, and every two blocks meet in one task: bounded memory
-    for buckets of any size."""
-    floor = threshold - 4 * math.sqrt(threshold * (1 - threshold) / m)
-    parts = F.ceil(F.col("c") / block).cast("int")
-    rows = rows.withColumn("parts", parts).withColumn("b", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+def _block_pairs(rows: DataFrame, parts: Column, *columns) -> DataFrame:
+    """``rows`` (band, key, node, comp, size, sig, bands), each sent to all the pairs of blocks
+    (i, j) that its own block is in: every two members of a bucket meet in one group of band,
+    key, i, j. A bucket is cut into ``parts`` blocks by the node's hash, so that a group is
+    bounded for buckets of any size."""
+    rows = rows.withColumn("parts", parts.cast("int")).withColumn("b", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     # block b meets every block: it is sent to the pairs (b, x) and (x, b)
-    spread = rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+    return rows.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "band", "key", F.least("b", "x").alias("i"), F.greatest("b", "x").alias("j"),
-        (F.col("b") <= F.col("x")).alias("left"), "parts", "node", "comp", F.xxhash64("comp").alias("h"),
-        "size", "sig", "bands")
+        (F.col("b") <= F.col("x")).alias("left"), "parts", "node", F.xxhash64("comp").alias("h"),
+        "size", "sig", "bands", *columns).groupBy("band", "key", "i", "j")
+
+
+def _near(table: pa.Table, threshold: float, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(left rows, right rows, share of equal registers of each two, those that come near) of
+    one group of ``_block_pairs``; -1 for two of one component, that lie too far apart in
+    length or that already met in a band before."""
+    floor = threshold - 4 * math.sqrt(threshold * (1 - threshold) / m)
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), dtype=np.uint8).reshape(-1, m)
+    comp = table["h"].to_numpy()
+    size = table["size"].to_numpy()
+    keys = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(sig), -1)
+    keys = keys[:, :table["band"][0].as_py()]  # those of the bands before
+    same = table["i"][0].as_py() == table["j"][0].as_py()
+    left = np.flatnonzero(table["left"].to_numpy(zero_copy_only=False))
+    right = left if same else np.setdiff1d(np.arange(len(sig)), left)
+    match = np.full((len(left), len(right)), -1.0)
+    for row, a in enumerate(left.tolist()):
+        on = np.flatnonzero((comp[right] != comp[a]) & ((right > a) | (not same)) & (
+            np.minimum(size[right], size[a]) >= threshold * np.maximum(size[right], size[a])))
+        on = on[~(keys[right[on]] == keys[a]).any(axis=1)]
+        if len(on):
+            match[row, on] = (sig[right[on]] == sig[a]).mean(axis=1)
+    return left, right, match, match >= floor
+
+
+def _with_near(rows: DataFrame, threshold: float, m: int, block: int = BLOCK) -> DataFrame:
+    """The rows (band, key, c and those of ``_block_pairs``) that come near by signature to
+    another component's in their bucket."""
+    def run(table: pa.Table) -> pa.Table:
+        left, right, _, near = _near(table, threshold, m)
+        some = np.union1d(left[near.any(axis=1)], right[near.any(axis=0)])
+        return table.select(["band", "key", "node"]).take(pa.array(some, pa.int64()))
 
+    ship(rows.sparkSession)
+    some = _block_pairs(rows, F.ceil(F.col("c") / block)).applyInArrow(run, rows.select("band", "key", "node").schema)
+    return rows.join(some, ["band", "key", "node"], "left_semi")
+
+
+def _joining(left: np.ndarray, right: np.ndarray, near: np.ndarray, comp: np.ndarray, ends: np.ndarray,
+             elements: np.ndarray, threshold: float) -> tuple[list[int], list[int]]:
+    """The links among the ``near`` pairs that join components (a forest): row ``r`` has the
+    sorted set elements[ends[r]:ends[r + 1]]. Rows that links have joined are not compared."""
+    label = np.unique(comp, return_inverse=True)[1]
+    us, vs = [], []
+    for row in np.flatnonzero(near.any(axis=1)).tolist():
+        a = left[row]
+        to = right[near[row]]
+        to = to[label[to] != label[a]]
+        if not len(to):
+            continue
+        own, n = elements[ends[a]:ends[a + 1]], ends[to + 1] - ends[to]
+        starts = np.cumsum(n) - n
+        theirs = elements[np.repeat(ends[to] - starts, n) + np.arange(n.sum())]
+        at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+        common = np.add.reduceat((own[at] == theirs).astype(np.int64), starts)
+        for v in to[common / (len(own) + n - common) >= threshold].tolist():
+            if label[v] != label[a]:
+                label[label == label[v]] = label[a]
+                us.append(int(a))
+                vs.append(v)
+    return us, vs
+
+
+def _cross_pairs(rows: DataFrame, sets: DataFrame, threshold: float, m: int, per_node: float,
+                 block: int = BLOCK) -> DataFrame:
+    """Links (u, v) between components, by verified pairs of a bucket's nodes that come near
+    by signature; a pair that meets in several bands is verified in the first of them. Where
+    two blocks have more than their share of ``per_node`` near pairs to each of the bucket's
+    nodes, only those that are the nearest to one of the two are, and a pair of nulls says
+    that there are others.
+
+    rows: band, key, c and total (rows of the bucket and their shingles), node, comp, size,
+    sig, bands. sets: node, set."""
     def run(table: pa.Table) -> pa.Table:
-        sig = np.frombuffer(b"".join(table["sig"].to_pylist()), dtype=np.uint8).reshape(-1, m)
-        comp = table["h"].to_numpy()
-        size = table["size"].to_numpy()
-        keys = table["bands"].combine_chunks().flatten().to_numpy().reshape(len(sig), -1)
-        keys = keys[:, :table["band"][0].as_py()]  # those of the bands before
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        left = np.flatnonzero(table["left"].to_numpy(zero_copy_only=False))
-        right = left if i == j else np.setdiff1d(np.arange(len(sig)), left)
-        match = np.full((len(left), len(right)), -1.0)
-        for row, a in enumerate(left.tolist()):
-            on = np.flatnonzero((comp[right] != comp[a]) & ((right > a) | (i != j)) & (
-                np.minimum(size[right], size[a]) >= threshold * np.maximum(size[right], size[a])))
-            on = on[~(keys[right[on]] == keys[a]).any(axis=1)]
-            if len(on):
-                match[row, on] = (sig[right[on]] == sig[a]).mean(axis=1)
-        near = match >= floor
-        others = bool(near.sum() > per_node * len(sig) / table["parts"][0].as_py())
+        left, right, match, near = _near(table, threshold, m)
+        others = bool(near.sum() > per_node * table.num_rows / table["parts"][0].as_py())
         if others:
             nearest = np.zeros_like(near)
             nearest[np.arange(len(left)), match.argmax(axis=1)] = True
             nearest[match.argmax(axis=0), np.arange(len(right))] = True
             near &= nearest
-        at_left, at_right = np.nonzero(near)
-        us = pa.array([*left[at_left].tolist(), *[None] * others], pa.int64())
-        vs = pa.array([*right[at_right].tolist(), *[None] * others], pa.int64())
-        node, place = table["node"].combine_chunks(), table["comp"].combine_chunks()
-        return pa.table({"u": node.take(us), "v": node.take(vs), "cu": place.take(us), "cv": place.take(vs)})
+        held = table["set"].combine_chunks()
+        ends = held.offsets.to_numpy().astype(np.int64)
+        us, vs = _joining(left, right, near, table["h"].to_numpy(), ends - ends[0],
+                          held.flatten().to_numpy().view(U), threshold)
+        place = table["comp"].combine_chunks()
+        return pa.table({"u": place.take(pa.array([*us, *[None] * others], pa.int64())),
+                         "v": place.take(pa.array([*vs, *[None] * others], pa.int64()))})
 
     ship(rows.sparkSession)
-    kind = rows.schema["node"].dataType.simpleString()
-    first = F.col("u") < F.col("v")
-    return (spread.groupBy("band", "key", "i", "j").applyInArrow(run, f"u {kind}, v {kind}, cu {kind}, cv {kind}")
-            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"),
-                    F.when(first, F.col("cu")).otherwise(F.col("cv")).alias("cu"),
-                    F.when(first, F.col("cv")).otherwise(F.col("cu")).alias("cv")).distinct())
+    kind = rows.schema["comp"].dataType.simpleString()
+    parts = F.ceil(F.greatest(F.col("c") / block, F.col("total") / BLOCK_SHINGLES))
+    return (_block_pairs(rows.join(sets, "node"), parts, "comp", "set").applyInArrow(run, f"u {kind}, v {kind}")
+            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
 
 
 def _still_split(placed: DataFrame) -> DataFrame:
-    """The rows of buckets that lie in several components."""
-    split = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo != hi").select("band", "key"))
-    return placed.join(split, ["band", "key"])
+    """The rows of buckets that lie in several components, with the bucket's rows (c) and
+    their shingles (total)."""
+    split = (placed.groupBy("band", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                               F.count(F.lit(1)).alias("c"), F.sum("size").alias("total"))
+             .filter("lo != hi").select("band", "key", "c", "total"))
+    return placed.drop("c", "total").join(split, ["band", "key"])
 
 
 def _merged(df: DataFrame, comp: str, merged: DataFrame | None) -> DataFrame:
@@ -246,7 +300,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
         F.any_value("bands").alias("bands"), F.any_value("sig").alias("sig")))
     buckets = contents.select("node", "size", F.posexplode("bands").alias("band", "key"))
     pivots = materialize(buckets.groupBy("band", "key").agg(
-        F.min(F.struct("node", "size")).alias("p"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
+        F.min(F.struct("node", "size")).alias("p"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"))
     members = materialize(buckets.join(pivots, ["band", "key"]))
     star = materialize(members.filter(F.col("node") != F.col("p.node"))
                        .filter(_near_in_length(F.col("size"), F.col("p.size"), threshold))
@@ -256,30 +310,28 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, width: int =
     # every member meets its component once; the rounds go on with the buckets that are
     # still split and with links between components
     placed = materialize(members.join(comps, "node", "left").select(
-        "node", "band", "key", "c", "size", F.coalesce("component", "node").alias("comp")))
-    open_rows = materialize(_still_split(placed).join(contents.select("node", "sig", "bands"), "node"))
-    tried, bridges, merged = star, None, None
+        "node", "band", "key", "size", F.coalesce("component", "node").alias("comp")))
+    split = materialize(_still_split(placed).join(contents.select("node", "sig", "bands"), "node"))
+    open_rows = materialize(_still_split(_with_near(split, threshold, bands * rows)))
+    nodes = materialize(open_rows.select("node").distinct())
+    sets = materialize(_shingle_sets(docs, nodes, width))
+    bridges, merged = None, None
     per_node = PAIRS_PER_NODE
-    while True:
-        found = materialize(_cross_pairs(open_rows, threshold, bands * rows, per_node)  # u < v, as in star
-                            .join(tried, ["u", "v"], "left_anti"))
-        told = found.agg(F.count("u").alias("more"), F.count(F.lit(1)).alias("n")).first()
-        others, more = told["n"] > told["more"], found.filter("u is not null")
-        joined = False
-        if told["more"]:
-            linked = verified(docs, more.select("u", "v"), threshold, width).select("u", "v")
-            new = materialize(more.join(linked, ["u", "v"], "left_semi").select(F.col("cu").alias("u"), F.col("cv").alias("v")))
-            joined = not new.isEmpty()
-            tried = tried.union(more.select("u", "v"))
-        if joined:
+    n = open_rows.count()
+    while n:
+        found = materialize(_cross_pairs(open_rows, sets, threshold, bands * rows, per_node))
+        told = found.agg(F.count("u").alias("links"), F.count(F.lit(1)).alias("n")).first()
+        others, new = told["n"] > told["links"], found.filter("u is not null")
+        if told["links"]:
             bridges = new if bridges is None else bridges.union(new)
             merged = materialize(components(bridges))
         if not others:
             break
-        if joined:
+        if told["links"]:
             open_rows = materialize(_still_split(_merged(open_rows, "comp", materialize(components(new)))))
-        else:
-            per_node = math.inf  # the nearest join nothing any more: all that are left
+        before, n = n, open_rows.count()
+        if n > before / 2:
+            per_node = math.inf  # the nearest join little any more: all that are left
     placed = sig.select(*KEY, "_n", "c1", "c2", "size").join(contents.select("c1", "c2", "node"), ["c1", "c2"]).join(
         comps, "node", "left").withColumn("class_node", F.coalesce("component", "node"))
     return _merged(placed, "class_node", merged).select(

@@ -371,6 +371,43 @@ def test_near_duplicates_rounds_read_what_is_still_split(spark, monkeypatch):
     assert [n for _, n in seen] == sorted((n for _, n in seen), reverse=True)
 
 
+def test_near_duplicates_tell_no_pairs_of_a_large_group(spark, monkeypatch):
+    """Near copies of one text that mostly stay just below the threshold: the rows to verify
+    and the links found stay in proportion to the texts, not to their pairs, and no link is
+    lost; also where the nearest go first and where blocks are cut by their shingles."""
+    told, verify, cross = [], probminhash_dedup.verified, probminhash_dedup._cross_pairs
+
+    def watched(docs, pairs, *rest):
+        told.append(pairs.count())
+        return verify(docs, pairs, *rest)
+
+    def counted(*args):
+        found = cross(*args)
+        told.append(found.count())
+        return found
+
+    monkeypatch.setattr(probminhash_dedup, "verified", watched)
+    monkeypatch.setattr(probminhash_dedup, "_cross_pairs", counted)
+    rng = random.Random(9)
+    base = prose(51, 140).split()
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for at in rng.sample(range(5, 130, 5), rng.choice([2, 3, 3, 3, 3, 3, 4])):
+            w[at] = f"w{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    want = {d: c for d, c, _ in jaccard_classes(rows)}
+    assert 100 < len(set(want.values())) < 300
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for per_node, shingles in ((math.inf, 1 << 20), (0.02, 1 << 12)):
+        monkeypatch.setattr(probminhash_dedup, "PAIRS_PER_NODE", per_node)
+        monkeypatch.setattr(probminhash_dedup, "BLOCK_SHINGLES", shingles, raising=False)
+        told.clear()
+        got = probminhash_dedup.dedup(table).select("doc.doc_id", "class_id").collect()
+        assert {r.doc_id: r.class_id for r in got} == want
+        assert sum(told) < 20 * len(rows), told  # 44 850 pairs
+
+
 def test_near_duplicates_with_uneven_repetition(spark):
     """One of two copies repeats a line or a footer many times: the plain Jaccard stays."""
     rows = []
