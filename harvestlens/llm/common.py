@@ -62,18 +62,22 @@ def words(text: Column) -> Column:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, conf: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage is cut, a lost
     executor's part is read again instead of being computed again, and the shuffles below
-    it are freed. Meant for tables used more than once or at the end of a long step."""
+    it are freed. Meant for tables used more than once or at the end of a long step.
+    ``conf`` holds while it is written."""
     spark = df.sparkSession
     path = scratch(spark, "llm")
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    conf = {_CLEANUP: "true"} | (conf or {})
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
 
 

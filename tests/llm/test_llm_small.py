@@ -2,12 +2,16 @@
 and very long texts, ties, repeated rows, empty tables, extra columns with clashing names."""
 
 import collections
+import contextlib
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
+import threading
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -18,6 +22,7 @@ from harvestlens.llm import (best_fit_packing, decontamination, hilbert_sharding
                              substring_dedup)
 from harvestlens.llm.components import components
 from harvestlens.llm.ranks import rank_in_cells
+from harvestlens.session import ensure_checkpoint_dir, stored
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -297,6 +302,80 @@ def test_pq_dedup_low_rank(spark):
     assert want.sum() > 100 and got == dict(enumerate(want.tolist()))
 
 
+def test_pq_disk_follows_the_input(spark):
+    """A vector is not written once for each list it is compared with."""
+    rng = np.random.default_rng(19)
+    x = rng.normal(size=(8_000, 64)).astype(np.float32)
+    x[1::2] = x[::2] + rng.normal(size=(4_000, 64)) * 0.2
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    table = stored(table.repartition(4))
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    folders = [Path(ensure_checkpoint_dir(spark).removeprefix("file://")),
+               *map(Path, env.blockManager().diskBlockManager().localDirsString())]
+
+    def used():
+        total = 0
+        for folder in folders:
+            for top, _, names in os.walk(folder):
+                for name in names:
+                    if not name.startswith("broadcast"):
+                        with contextlib.suppress(OSError):
+                            total += os.stat(os.path.join(top, name)).st_size
+        return total
+
+    before, most, done = used(), 0, threading.Event()
+
+    def watch():
+        nonlocal most
+        while not done.wait(0.02):
+            most = max(most, used() - before)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        found = sum(r.n_links for r in pq_dedup.near_duplicates(table).collect())
+    finally:
+        done.set()
+        watcher.join()
+    unit = x / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    assert found == (unit @ unit.T >= 0.9).sum() - len(x) > 5_000
+    assert most < 4 * x.nbytes
+
+
+@pytest.mark.parametrize("block", [2048, 90])
+def test_pq_dense_groups(spark, block):
+    """Large groups of near copies, some of their pairs just below the threshold, in one
+    group of the index and in many."""
+    rng = np.random.default_rng(23)
+    x = np.concatenate([rng.normal(size=(1, 24)) + rng.normal(size=(n, 24)) * s
+                        for n, s in ((700, 0.05), (500, 0.3), (300, 0.36), (1, 0))])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = pq_dedup.near_duplicates(table, block=block).collect()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = unit @ unit.T >= 0.9
+    label = np.arange(len(x))
+    for _ in x:
+        label, last = np.where(linked, label, len(x)).min(axis=1), label
+        if (label == last).all():
+            break
+    assert 300_000 < linked.sum() < len(x) ** 2 / 2
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [
+        (i, n - 1, c) for i, (n, c) in enumerate(zip(linked.sum(axis=1).tolist(), label.tolist()))]
+
+
+def test_pq_narrow_reach():
+    """With a short reach a pair is compared if one end probes the other's list."""
+    x = low_rank(np.random.default_rng(29), 2_000, 6, 32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    quantiser = pq_dedup.Quantiser(x, 900, 0.9, 0.1)
+    own = pq_dedup._nearest(x, quantiser.centre)
+    found = quantiser.probes(x, own)
+    u, v = np.nonzero(x @ x.T >= 0.9)
+    want = found[u, own[v]] | found[v, own[u]]
+    assert (quantiser.met(x[u], own[u], x[v], own[v]) == want).all() and 0 < want.sum() < len(want)
+
+
 # ---- near duplicates
 
 def jaccard_classes(rows):
