@@ -34,7 +34,7 @@ SAMPLE = 20_000       # rows, about, of the fit
 MAX_LISTS = 1_000
 SUBSPACES, CODES = 8, 256
 REACH = 0.5  # from here on no link is missed
-BLOCK = 2_048         # rows a group has room for, at least
+BLOCK = 2_048         # rows a group has room for, at least, unless they are very long
 GROUP_BYTES = 4 << 20  # of vectors in a group, about, where there are many
 GROUPS = 16           # at least, where they have room for more than BLOCK rows
 CELL = 1_024           # rows of a cell, about
@@ -442,8 +442,8 @@ def _meet(quantiser: Quantiser, threshold: float, single: bool):
 
 
 def pack(distinct: DataFrame, quantiser: Quantiser, block: int = BLOCK) -> DataFrame:
-    """The index: a row of ``GROUP`` for each group of vectors of near lists. A group has at
-    most as many rows as it has room for, also where one list has them all."""
+    """The index: a row of ``GROUP`` for each group of vectors of near lists. A list that a
+    group has no room for is dealt over several."""
     def assign(batches):
         for batch in (b.slice(k, 2048) for b in batches for k in range(0, b.num_rows, 2048)):
             own = _nearest(_unit(batch.column("v"), quantiser.dim), quantiser.centre)
@@ -456,7 +456,8 @@ def pack(distinct: DataFrame, quantiser: Quantiser, block: int = BLOCK) -> DataF
     # a table of at most MAX_LISTS rows
     sizes = {r["own"]: r["count"] for r in listed.groupBy("own").count().collect()}
     width = quantiser.dim * (4 if kind.simpleString() == "array<float>" else 8)
-    room = max(block, min(sum(sizes.values()) // GROUPS, GROUP_BYTES // width))
+    most = max(1, GROUP_BYTES // width)
+    room = min(max(block, min(sum(sizes.values()) // GROUPS, most)), 4 * most)
     first, parts, g, held = {}, {}, 0, 0
     for k in (int(k) for k in quantiser.places() if int(k) in sizes):
         n = sizes[k]
